@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from sheafline.plans import documents, geometry, intake, quality, state
+from sheafline.plans.registry import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+for _module in (intake, quality, documents, geometry, state):
+    QUERIES |= _module.R.queries
+    SQL |= _module.R.sql
