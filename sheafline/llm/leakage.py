@@ -48,7 +48,7 @@ def item_grams(items: pd.DataFrame, n: int = SEED) -> dict[str, list[tuple[int,
 def blocks_of(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[pd.DataFrame]:
     """The items in blocks of at most ``block_chars`` characters (one longer item is a block of its own), streamed."""
     rows, size = [], 0
-    for r in items.filter("text is not null").select("item_id", "text").toLocalIterator():
+    for r in items.filter("item_id is not null and text is not null").select("item_id", "text").toLocalIterator():
         if rows and size + len(r["text"]) > block_chars:
             yield pd.DataFrame(rows, columns=["item_id", "text"])
             rows, size = [], 0
@@ -164,10 +164,10 @@ def passages(words: list[str], document: list[str], places: list[int], n: int =
 def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, run, score): every document that shares a seed with an item, with the longest exact run of words and the alignment score.
 
-    Null and empty texts match nothing. Items with the same text are reported each. Items shorter than RUN words are seeded by what they have.
+    Null and empty texts, and rows without an id, match nothing. Items with the same text are reported each. Items shorter than RUN words are seeded by what they have.
     """
     spark = documents.sparkSession
-    docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.length("text") > 0)
+    docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and length(text) > 0")
     parts = []
     for block in blocks_of(items.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")), block_chars):
         grams = item_grams(block)

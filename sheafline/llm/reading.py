@@ -115,8 +115,8 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def features(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, words, latin, x): words in running sentences, alphabet, features in the order of NAMES. Null and empty texts have no words."""
-    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    """(doc_id, words, latin, x): words in running sentences, alphabet, features in the order of NAMES. Null and empty texts have no words; rows without an id are left out."""
+    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null")
     return docs.mapInPandas(_features, "doc_id long, words int, latin boolean, x array<double>")
 
 

@@ -134,7 +134,7 @@ def with_limits(units: DataFrame, limits: DataFrame) -> DataFrame:
 def split_units(units: DataFrame, limits: DataFrame) -> DataFrame:
     """(unit_no, piece, pieces, char_start, char_end, text): each unit in pieces under its profile's limit.
 
-    A unit that fits is one piece; empty and null texts and units of an unknown profile give no rows; repeated rows of a unit give their pieces each.
+    A unit that fits is one piece; empty and null texts, units without a number and units of an unknown profile give no rows; repeated rows of a unit give their pieces each.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -145,7 +145,7 @@ def split_units(units: DataFrame, limits: DataFrame) -> DataFrame:
                 out.extend((no, i, len(spans), a, b, text[a:b]) for i, (a, b) in enumerate(spans))
             yield pd.DataFrame(out, columns=["unit_no", "piece", "pieces", "char_start", "char_end", "text"])
 
-    sized = with_limits(units.select("unit_no", "profile", "text"), limits).filter("text is not null and max_size is not null")
+    sized = with_limits(units.select("unit_no", "profile", "text"), limits).filter("unit_no is not null and text is not null and max_size is not null")
     return sized.select("unit_no", "text", "max_size", F.coalesce("overlap", F.lit(0)).alias("overlap"), "unit").mapInPandas(run, "unit_no long, piece int, pieces int, char_start int, char_end int, text string")
 
 
@@ -169,7 +169,7 @@ def defects(units: DataFrame, fragments: DataFrame, limits: DataFrame) -> DataFr
                 out.extend((no, d) for d in audit(text, int(size), int(over), spans, unit))
             yield pd.DataFrame(out, columns=["unit_no", "defect"])
 
-    sized = with_limits(units.select("unit_no", "source_unit_id", "profile", "text"), limits).filter("text is not null and max_size is not null")
+    sized = with_limits(units.select("unit_no", "source_unit_id", "profile", "text"), limits).filter("unit_no is not null and text is not null and max_size is not null")
     both = sized.join(stored_pieces(fragments), "source_unit_id", "left")
     return both.select("unit_no", "text", "max_size", F.coalesce("overlap", F.lit(0)).alias("overlap"), "unit", "pieces").mapInPandas(run, "unit_no long, defect string")
 

@@ -1,0 +1,14 @@
+import oracle
+import pytest
+
+from sheafline.llm import queries as Q
+
+
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
+def test_query(spark, data, name):
+    df = Q.QUERIES[name](spark, data)
+    if name in Q.SQL:
+        assert not oracle.differences(df, oracle.connect(data), Q.SQL[name])
+    else:
+        n = df.count()
+        assert n >= 0 and (not name.endswith("_found") or df.distinct().count() == n)
