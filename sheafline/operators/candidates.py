@@ -15,7 +15,7 @@ PENALTY, CHARS_PER_PAGE, GOOD, KEEP = 0.55, 150, 0.75, 0.5
 
 def score(confidence: Column, completeness: Column, structured: Column, expected: Column) -> Column:
     value = F.lit(0.5) * confidence + F.lit(0.5) * completeness
-    return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.round(F.when(expected & ~structured, value * PENALTY).otherwise(value), 6))), 3)
+    return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.when(expected & ~structured, value * PENALTY).otherwise(value))), 6)
 
 
 def from_fragments(fragments: DataFrame, levels: Column) -> DataFrame:

@@ -96,7 +96,7 @@ def _level() -> F.Column:
 
 
 _LEVEL = f"CASE method {' '.join(f"WHEN '{k}' THEN {v[1]}" for k, v in METHODS.items())} ELSE 5 END"
-_CANDIDATES = f"""SELECT *, round(least(1.0, greatest(0.0, round(CASE WHEN max(structured) OVER (PARTITION BY s3_fileid) AND NOT structured THEN (0.5 * confidence + 0.5 * completeness) * 0.55 ELSE 0.5 * confidence + 0.5 * completeness END, 6))), 3) AS score FROM (
+_CANDIDATES = f"""SELECT *, round(least(1.0, greatest(0.0, round(CASE WHEN max(structured) OVER (PARTITION BY s3_fileid) AND NOT structured THEN (0.5 * confidence + 0.5 * completeness) * 0.55 ELSE 0.5 * confidence + 0.5 * completeness END, 9))), 6) AS score FROM (
       SELECT s3_fileid, level, sum(c)::BIGINT AS chars, sum(confidence * greatest(c, 1)) / sum(greatest(c, 1)) AS confidence, least(1.0, sum(c) / (150 * greatest(count(DISTINCT page), 1))) AS completeness, bool_or(st) AS structured FROM (
         SELECT s3_fileid, {_LEVEL} AS level, position.page AS page, confidence, length(regexp_replace(coalesce(text, ''), '[\\s\\p{{Z}}\\x{{85}}]', '', 'g')) + coalesce(length(structured_payload.table_html), 0) AS c, fragment_type IN ('table', 'formula') AS st FROM fragments) GROUP BY s3_fileid, level)"""
 
