@@ -5,10 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
 def local_session(cpus: int | str = 8, memory: str = "8g", app: str = "sheafline") -> SparkSession:
     """A session for tests and benches; a cluster brings its own."""
     return (
@@ -25,8 +30,24 @@ def local_session(cpus: int | str = 8, memory: str = "8g", app: str = "sheafline
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of a session, once: they need not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    home = Path(__file__).resolve().parent
+    # the driver serves the file to the workers; it needs no shared folder
+    archive = Path(tempfile.mkdtemp(prefix="sheafline-code-")) / "sheafline_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f.relative_to(home.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The parquet table ``name`` under ``root`` (a file or a folder of part files)."""
+    ship(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
