@@ -318,3 +318,26 @@ def facts_from_tables(spark: SparkSession, root: str) -> DataFrame:
 def label_tails(spark: SparkSession, root: str) -> DataFrame:
     """Texts that end in a label joined with the text that follows on the page."""
     return parts.join_label_tails(latest(table(spark, root, "fragments")))
+
+
+@R.query(
+    """SELECT unit_no, CASE WHEN n = 1 THEN h ELSE h || '-' || n END AS stable_id FROM (SELECT unit_no, h, row_number() OVER (PARTITION BY h ORDER BY unit_no) AS n FROM (
+      SELECT unit_no, substr(sha256(concat_ws(chr(31), s3_fileid, coalesce(page, 0)::VARCHAR, coalesce(sheet, ''), coalesce(text, ''))), 1, 24) AS h FROM source_units))"""
+)
+def source_unit_ids(spark: SparkSession, root: str) -> DataFrame:
+    """Content ids of source units; repeats are numbered in the order of their numbers."""
+    h = H.short_hash(F.concat_ws("\x1f", "s3_fileid", F.coalesce("page", F.lit(0)).cast("string"), F.coalesce("sheet", F.lit("")), F.coalesce("text", F.lit(""))), 24)
+    df = table(spark, root, "source_units").select("unit_no", h.alias("h"))
+    n = F.row_number().over(Window.partitionBy("h").orderBy("unit_no"))
+    return df.withColumn("n", n).select("unit_no", F.when(F.col("n") == 1, F.col("h")).otherwise(F.concat_ws("-", "h", "n")).alias("stable_id"))
+
+
+@R.query(
+    """SELECT unit_no, pieces, coalesce(bad_order, 0) AS bad_order FROM source_units LEFT JOIN (SELECT source_unit_id, count(*) AS pieces, count(*) FILTER (WHERE s.char_end < s.char_start OR s.char_start < 0) AS bad_order FROM (
+      SELECT s.source_unit_id AS source_unit_id, s FROM (SELECT unnest(position.source_spans) AS s FROM fragments)) GROUP BY 1) USING (source_unit_id)"""
+)
+def source_spans(spark: SparkSession, root: str) -> DataFrame:
+    """How many stored pieces each source unit has, and how many of them are not valid spans."""
+    spans = table(spark, root, "fragments").select(F.explode("position.source_spans").alias("s"))
+    by = spans.groupBy("s.source_unit_id").agg(F.count("*").alias("pieces"), F.count_if((F.col("s.char_end") < F.col("s.char_start")) | (F.col("s.char_start") < 0)).alias("bad_order"))
+    return table(spark, root, "source_units").select("unit_no", "source_unit_id").join(by, "source_unit_id", "left").select("unit_no", "pieces", F.coalesce("bad_order", F.lit(0)).alias("bad_order"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.functions import texts as X
-from sheafline.operators import fields, layout
+from sheafline.operators import fields, layout, repair, sheets
 from sheafline.plans.registry import Registry
 from sheafline.session import table
 
@@ -151,3 +151,47 @@ def tile_boxes(spark: SparkSession, root: str) -> DataFrame:
 def folded_lines(spark: SparkSession, root: str) -> DataFrame:
     df = table(spark, root, "text_lines").filter("method = 'text_layer'")
     return df.select("line_id", F.length(F.regexp_replace("text", r"[^\p{L}]", "")).alias("letters"), X.mixed_script_words(F.col("text")).alias("seams"), X.fold_homoglyphs(F.col("text")).alias("folded"))
+
+
+@R.query(
+    """WITH l AS (SELECT line_id, s3_fileid, page, bbox AS a FROM text_lines WHERE bbox IS NOT NULL), b AS (SELECT fragment_no, s3_fileid, position.page AS page, position.bbox AS b FROM fragments WHERE position.bbox IS NOT NULL),
+      d AS (SELECT line_id, fragment_no, round(greatest(0.0, b.x1 - a.x2, a.x1 - b.x2, b.y1 - a.y2, a.y1 - b.y2), 9) AS distance FROM l JOIN b USING (s3_fileid, page)),
+      r AS (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY distance, fragment_no) AS k, lead(distance) OVER (PARTITION BY line_id ORDER BY distance, fragment_no) AS second FROM d)
+    SELECT line_id, fragment_no, distance FROM r WHERE k = 1 AND distance <= 0.02 AND (second IS NULL OR second >= distance + 0.02)"""
+)
+def nearest_blocks(spark: SparkSession, root: str) -> DataFrame:
+    return sheets.nearest(table(spark, root, "text_lines"), table(spark, root, "fragments"))
+
+
+@R.query(
+    """SELECT s3_fileid, page, count(*) AS cells FROM (SELECT DISTINCT s3_fileid, page, r, c FROM (SELECT s3_fileid, page, r, unnest(generate_series(c1, c2)) AS c FROM (SELECT s3_fileid, page, unnest(generate_series(r1, greatest(r1, r2))) AS r, c1, greatest(c1, c2) AS c2 FROM (
+      SELECT s3_fileid, page, least(49, greatest(0, floor(bbox.y1 * 50)))::INT AS r1, least(49, greatest(0, floor(bbox.y2 * 50)))::INT AS r2, least(49, greatest(0, floor(bbox.x1 * 50)))::INT AS c1, least(49, greatest(0, floor(bbox.x2 * 50)))::INT AS c2 FROM text_lines WHERE bbox IS NOT NULL)))) GROUP BY s3_fileid, page"""
+)
+def occupied_cells(spark: SparkSession, root: str) -> DataFrame:
+    return sheets.cells(table(spark, root, "text_lines")).groupBy("s3_fileid", "page").agg(F.count("*").alias("cells"))
+
+
+@R.query()
+def grid_components(spark: SparkSession, root: str) -> DataFrame:
+    return sheets.components(sheets.cells(table(spark, root, "text_lines")))
+
+
+@R.query()
+def repaired_changes(spark: SparkSession, root: str) -> DataFrame:
+    """The ``before`` texts of changes through the repairs for alphabets, designations and dimensions."""
+    words = repair.vocabulary_of(table(spark, root, "word_list"))
+    df = table(spark, root, "text_changes").select("change_id", "before")
+    return repair.apply(df, "before", lambda t: repair.mixed_words(t, words), repair.designations, repair.dimensions).select("change_id", "repaired.text", "repaired.changed")
+
+
+@R.query()
+def unglued_lines(spark: SparkSession, root: str) -> DataFrame:
+    words = repair.vocabulary_of(table(spark, root, "word_list"))
+    df = table(spark, root, "text_lines").filter("method = 'text_layer'").select("line_id", "text")
+    return repair.apply(df, "text", lambda t: repair.unglue(t, words)).select("line_id", F.col("repaired.text").alias("text"), "repaired.changed")
+
+
+@R.query()
+def formula_prose(spark: SparkSession, root: str) -> DataFrame:
+    df = table(spark, root, "fragments").filter("formula is not null").select("fragment_no", "formula")
+    return repair.apply(df, "formula", repair.mangled_prose).select("fragment_no", "repaired.text", "repaired.changed")
