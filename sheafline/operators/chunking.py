@@ -39,7 +39,7 @@ def split_positions(text: str, size: int, overlap: int) -> list[Span]:
             first = blank + 1 if blank > start else end
         end = first if start < first < end else end
         out.append((start, end))
-        start = max(end - overlap, start + 1) if end - overlap > start else end
+        start = end - overlap if end - overlap > start else end
     return out
 
 

@@ -9,7 +9,7 @@ from sheafline.functions import hashes as H
 from sheafline.functions import texts as X
 from sheafline.functions import units as U
 from sheafline.functions.files import lookup
-from sheafline.operators import chunking, facts, parts, tables
+from sheafline.operators import chunking, facts, parts, ranks, tables
 from sheafline.plans.registry import Registry
 from sheafline.session import table
 
@@ -159,8 +159,7 @@ _BASE = f"'doc-' || substr(sha256(s3_fileid), 1, 32) || ':p' || lpad(coalesce(po
 def fragment_ids(spark: SparkSession, root: str) -> DataFrame:
     """Content-based ids; repeats are numbered in order of arrival."""
     df = table(spark, root, "fragments").select("fragment_no", H.fragment_base(F.col("s3_fileid"), F.col("position.page"), F.col("fragment_type"), signature()).alias("base"))
-    n = F.row_number().over(Window.partitionBy("base").orderBy("fragment_no"))
-    return df.withColumn("n", n).select("fragment_no", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", "n")).alias("stable_id"))
+    return ranks.numbered(df, "base", "fragment_no").select("fragment_no", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", "n")).alias("stable_id"))
 
 
 @R.query(
@@ -328,8 +327,7 @@ def source_unit_ids(spark: SparkSession, root: str) -> DataFrame:
     """Content ids of source units; repeats are numbered in the order of their numbers."""
     h = H.short_hash(F.concat_ws("\x1f", "s3_fileid", F.coalesce("page", F.lit(0)).cast("string"), F.coalesce("sheet", F.lit("")), F.coalesce("text", F.lit(""))), 24)
     df = table(spark, root, "source_units").select("unit_no", h.alias("h"))
-    n = F.row_number().over(Window.partitionBy("h").orderBy("unit_no"))
-    return df.withColumn("n", n).select("unit_no", F.when(F.col("n") == 1, F.col("h")).otherwise(F.concat_ws("-", "h", "n")).alias("stable_id"))
+    return ranks.numbered(df, "h", "unit_no").select("unit_no", F.when(F.col("n") == 1, F.col("h")).otherwise(F.concat_ws("-", "h", "n")).alias("stable_id"))
 
 
 @R.query(

