@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from sheafline.plans import documents, geometry, intake, quality, state
+from sheafline.plans import documents, geometry, intake, pages, state
 from sheafline.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-for _module in (intake, quality, documents, geometry, state):
+for _module in (intake, documents, geometry, pages, state):
     QUERIES |= _module.R.queries
     SQL |= _module.R.sql
