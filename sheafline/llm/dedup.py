@@ -1,7 +1,7 @@
 """New batches against all accepted history: exact and near repeats without reading the history again.
 
-The history lives in two written tables. ``bands`` holds one row per record and band, laid out by a bucket of the band's
-key; ``sketches`` holds the record's folded words and is laid out by a bucket of the record's number. A batch computes its
+The history lives in two written tables, one folder a batch. ``bands`` holds one row per record and band, laid out by a bucket of the band's
+key and sorted by it; ``sketches`` holds the record's folded words and is laid out by a bucket of the record's number. A batch computes its
 own keys, reads only the buckets its keys fall into, verifies what it meets there word by word, and appends the keys of
 those of its records that repeat nothing exactly.
 
@@ -35,6 +35,7 @@ BANDS, ROWS = 28, 7
 LIMIT = 0.15
 CROWD = 40
 BUCKETS = 64
+SKETCHES, BAND_ROWS = "id long, bag string, n int, words string, bucket int", "key long, id long, n int, bucket int"
 
 
 def _parameters() -> tuple[np.ndarray, np.ndarray]:
@@ -107,62 +108,65 @@ class HistoryIndex:
     def __init__(self, spark: SparkSession, path: str | None = None, limit: float = LIMIT, crowd: int = CROWD):
         self.spark, self.limit, self.crowd = spark, limit, crowd
         self.path = path or f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
-        self.filled = False
-
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        self.batches = 0
 
     def add(self, batch: DataFrame, id_col: str = "file_no", text: str = "text_sample") -> DataFrame:
         """(id_a, id_b): each record of the batch with the earliest record, here or in the history, that it repeats; then
         the batch is part of the history.
 
         Records with a null or wordless text are neither compared nor kept. Ids must be unique and grow with arrival; an
-        id given twice counts once. An empty batch gives no rows.
+        id given twice counts once. An empty batch gives no rows. The batch's keys are written once, into the history's own layout under the
+        batch's number; a batch that is tried again after a failure replaces what the failed try left.
         """
         ids = batch.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).filter(F.col("text").isNotNull() & F.col("id").isNotNull())
         new = written(ids.mapInPandas(_prepare, "id long, bag string, n int, words string").filter("n > 0"), "batch")
         # classes of equal bags: the earliest stands for all
         heads = new.groupBy("bag").agg(F.min("id").alias("head"))
-        if self.filled:
-            old = self._read("sketches").select("bag", F.col("id").alias("old_head"))
-            heads = heads.join(old, "bag", "left")
+        if self.batches:
+            heads = heads.join(self._history("sketches").select("bag", F.col("id").alias("old_head")), "bag", "left")
         else:
             heads = heads.withColumn("old_head", F.lit(None).cast("long"))
         heads = written(heads, "heads")
         fresh = new.join(heads.filter("old_head is null").select(F.col("head").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-        fresh = written(fresh.withColumn("bucket", F.pmod("id", F.lit(BUCKETS))), "fresh")
-        bands = written(fresh.select("id", "n", "words").mapInPandas(_bands, "key long, id long, n int").withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int")), "keys")
-        near = self._near(fresh, bands)
+        fresh.withColumn("bucket", F.pmod("id", F.lit(BUCKETS)).cast("int")).repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(self._own("sketches"))
+        fresh = self.spark.read.schema(SKETCHES).parquet(self._own("sketches"))
+        keyed = fresh.select("id", "n", "words").mapInPandas(_bands, "key long, id long, n int").withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int"))
+        keyed.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").mode("overwrite").parquet(self._own("bands"))
+        near = self._near(fresh, self.spark.read.schema(BAND_ROWS).parquet(self._own("bands")))
         # every member takes the earliest of its class and of what its class is near to
         linked = heads.withColumn("own", F.least(F.coalesce("old_head", "head"), "head")).join(near, heads["head"] == near["id_b"], "left")
         first = linked.select("bag", F.least("own", F.coalesce("id_a", "own")).alias("id_a"))
         pairs = new.select("id", "bag").join(first, "bag").filter(F.col("id_a") < F.col("id")).select("id_a", F.col("id").alias("id_b")).distinct()
         pairs = written(pairs, "pairs")
-        bands.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").mode("append").parquet(f"{self.path}/bands")
-        fresh.repartition("bucket").write.partitionBy("bucket").mode("append").parquet(f"{self.path}/sketches")
-        self.filled = True
+        self.batches += 1
         return pairs
 
+    def _own(self, name: str) -> str:
+        return f"{self.path}/{name}/batch={self.batches}"
+
+    def _history(self, name: str) -> DataFrame:
+        """What the batches before this one left."""
+        return self.spark.read.schema({"sketches": SKETCHES, "bands": BAND_ROWS}[name] + ", batch int").parquet(f"{self.path}/{name}").filter(F.col("batch") < self.batches)
+
     def _near(self, fresh: DataFrame, bands: DataFrame) -> DataFrame:
         """(id_a, id_b): for each fresh class the earliest near class, verified."""
         everything, words = bands.withColumn("fresh", F.lit(True)), fresh.select("id", "n", "words")
-        if self.filled:
+        if self.batches:
             hit = [r[0] for r in bands.select("bucket").distinct().collect()]  # at most BUCKETS numbers
-            history = self._read("bands").filter(F.col("bucket").isin(hit))
+            history = self._history("bands").filter(F.col("bucket").isin(hit))
             mine = bands.select("key").distinct()
             history = history.join(F.broadcast(mine) if table_bytes(mine) < 8 << 20 else mine, "key", "left_semi")
-            everything = everything.unionByName(history.withColumn("fresh", F.lit(False)))
-            words = words.unionByName(self._read("sketches").select("id", "n", "words"))
-        # crowded keys are told apart by a count that combines before the shuffle
-        sizes = everything.groupBy("key").agg(F.count("*").alias("members"), F.max("fresh").alias("any_new")).filter("members > 1 and any_new")
-        sizes = written(sizes.select("key", "members"), "sizes")
-        few = everything.join(sizes.filter(F.col("members") <= self.crowd).select("key"), "key")
+            everything = everything.unionByName(history.withColumn("fresh", F.lit(False)), allowMissingColumns=True)
+            words = words.unionByName(self._history("sketches").select("id", "n", "words"))
+        everything = everything.select("key", "id", "n", "fresh")
+        # keys that meet: counted with a combine before the shuffle, then their rows once
+        sizes = everything.groupBy("key").agg(F.count("*").alias("members"), F.max("fresh").alias("any_new")).filter("members > 1 and any_new").select("key", "members")
+        met = written(everything.join(sizes, "key"), "met")
+        few = met.filter(F.col("members") <= self.crowd)
         b, a = few.filter("fresh").alias("b"), few.alias("a")
         fits = F.least("a.n", "b.n") >= (1 - self.limit) * F.greatest("a.n", "b.n")
-        # of two fresh records the later is the one that repeats; a history record is always the earlier, whatever its number
-        earlier = (F.col("a.id") < F.col("b.id"))
-        candidates = b.join(a, (F.col("a.key") == F.col("b.key")) & earlier & fits).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
-        crowded = everything.join(sizes.filter(F.col("members") > self.crowd).select("key"), "key", "left_semi").groupBy("id").agg(F.max("fresh").alias("fresh"))
+        candidates = b.join(a, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & fits).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
+        crowded = met.filter(F.col("members") > self.crowd).groupBy("id").agg(F.max("fresh").alias("fresh"))
         candidates = candidates.unionByName(self._rare_pairs(crowded, words)).distinct()
         texts = words.select("id", "words")
         paired = candidates.join(texts.select(F.col("id").alias("id_b"), F.col("words").alias("wb")), "id_b").join(texts.select(F.col("id").alias("id_a"), F.col("words").alias("wa")), "id_a")
