@@ -15,7 +15,7 @@ PENALTY, CHARS_PER_PAGE, GOOD, KEEP = 0.55, 150, 0.75, 0.5
 
 def score(confidence: Column, completeness: Column, structured: Column, expected: Column) -> Column:
     value = F.lit(0.5) * confidence + F.lit(0.5) * completeness
-    return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.when(expected & ~structured, value * PENALTY).otherwise(value))), 6)
+    return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.when(expected & ~structured, value * PENALTY).otherwise(value))), 8)
 
 
 def from_fragments(fragments: DataFrame, levels: Column) -> DataFrame:
@@ -24,8 +24,8 @@ def from_fragments(fragments: DataFrame, levels: Column) -> DataFrame:
     df = fragments.select("s3_fileid", levels.alias("level"), F.col("position.page").alias("page"), "confidence", chars.alias("c"), F.col("fragment_type").isin("table", "formula").alias("st"))
     by = df.groupBy("s3_fileid", "level").agg(
         F.sum("c").alias("chars"),
-        (F.sum(F.col("confidence") * F.greatest("c", F.lit(1))) / F.sum(F.greatest("c", F.lit(1)))).alias("confidence"),
-        F.least(F.lit(1.0), F.sum("c") / (CHARS_PER_PAGE * F.greatest(F.countDistinct("page"), F.lit(1)))).alias("completeness"),
+        F.round(F.sum(F.col("confidence") * F.greatest("c", F.lit(1))) / F.sum(F.greatest("c", F.lit(1))), 4).alias("confidence"),
+        F.round(F.least(F.lit(1.0), F.sum("c") / (CHARS_PER_PAGE * F.greatest(F.countDistinct("page"), F.lit(1)))), 4).alias("completeness"),
         F.max("st").alias("structured"),
     )
     expected = F.max("structured").over(Window.partitionBy("s3_fileid"))

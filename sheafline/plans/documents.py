@@ -25,7 +25,7 @@ def latest(fragments: DataFrame) -> DataFrame:
 _LATEST = "(SELECT * FROM fragments WHERE fragment_no IN (SELECT fragment_no FROM (SELECT fragment_no, row_number() OVER (PARTITION BY fragment_id ORDER BY updated_at DESC, fragment_no DESC) r FROM fragments) WHERE r = 1))"
 
 
-@R.query(f"SELECT fragment_no, fragment_id, fragment_type, position.page AS page, updated_at FROM {_LATEST}")
+@R.query(f"SELECT fragment_no, fragment_id, fragment_type, position.page AS page, updated_at AT TIME ZONE 'UTC' AS updated_at FROM {_LATEST}")
 def latest_fragments(spark: SparkSession, root: str) -> DataFrame:
     return latest(table(spark, root, "fragments")).select("fragment_no", "fragment_id", "fragment_type", F.col("position.page").alias("page"), "updated_at")
 
@@ -74,7 +74,7 @@ def page_coverage(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    """SELECT s3_fileid, page, round(least(1.0, coalesce(produced, 0) / expected), 3) AS recall, expected, coalesce(produced, 0) AS produced FROM
+    """SELECT s3_fileid, page, round(least(1.0, coalesce(produced, 0) / expected), 3) AS recall, expected::BIGINT AS expected, coalesce(produced, 0)::BIGINT AS produced FROM
       (SELECT s3_fileid, page, sum(length(regexp_replace(text, '[\\s\\p{Z}\\x{85}]', '', 'g'))) AS expected FROM text_lines WHERE method = 'text_layer' GROUP BY ALL HAVING expected > 0)
       LEFT JOIN (SELECT s3_fileid, position.page AS page, sum(length(regexp_replace(coalesce(text, ''), '[\\s\\p{Z}\\x{85}]', '', 'g'))) AS produced FROM fragments GROUP BY ALL) USING (s3_fileid, page)"""
 )
@@ -90,7 +90,7 @@ _CELLS = "regexp_extract_all(structured_payload.table_html, '(?is)<t[dh]\\b[^>]*
 
 
 @R.query(
-    f"""SELECT fragment_no, len(c) AS cells, len(list_filter(c, lambda x: trim(x) <> '')) AS filled, round(CASE WHEN len(c) = 0 THEN 0.0 ELSE len(list_filter(c, lambda x: trim(x) <> '')) / len(c) END, 3) AS completeness
+    f"""SELECT fragment_no, len(c)::INTEGER AS cells, len(list_filter(c, lambda x: trim(x) <> ''))::INTEGER AS filled, round(CASE WHEN len(c) = 0 THEN 0.0 ELSE len(list_filter(c, lambda x: trim(x) <> '')) / len(c) END, 3) AS completeness
       FROM (SELECT fragment_no, {_CELLS} AS c FROM fragments WHERE structured_payload.table_html IS NOT NULL)"""
 )
 def table_completeness(spark: SparkSession, root: str) -> DataFrame:
@@ -109,7 +109,7 @@ def table_grids(spark: SparkSession, root: str) -> DataFrame:
 
 @R.query(
     r"""SELECT fragment_no, nullif(regexp_extract(f, p, 1), '') AS base_var, nullif(trim(regexp_extract(f, p, 2)), '') AS expression,
-      CASE WHEN trim(f) = '' THEN 0.0 WHEN regexp_extract(f, p, 1) <> '' THEN 0.7 ELSE 0.5 END AS completeness
+      CAST(CASE WHEN trim(f) = '' THEN 0.0 WHEN regexp_extract(f, p, 1) <> '' THEN 0.7 ELSE 0.5 END AS DOUBLE) AS completeness
     FROM (SELECT fragment_no, replace(formula, chr(10), ' ') AS f, '^\s*([A-Za-zА-Яа-яΑ-ω][A-Za-z0-9_\\{}]*)\s*=\s*(.+)$' AS p FROM fragments WHERE formula IS NOT NULL)"""
 )
 def formula_parts(spark: SparkSession, root: str) -> DataFrame:
@@ -222,7 +222,7 @@ def numbers_with_units(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    r"""SELECT doc_id, words, mixed, round(mixed / greatest(words, 1), 6) AS share, mixed > 0.12 * words AND chars >= 60 AS rescan FROM (
+    r"""SELECT doc_id, words::INTEGER AS words, mixed::INTEGER AS mixed, round(mixed / greatest(words, 1), 6) AS share, mixed > 0.12 * words AND chars >= 60 AS rescan FROM (
       SELECT doc_id, len(regexp_extract_all(text, '\p{L}+')) AS words, len(list_filter(regexp_extract_all(text, '\p{L}+'), lambda w: regexp_matches(w, '[a-zA-Z]') AND regexp_matches(w, '[а-яёА-ЯЁ]'))) AS mixed, length(text) AS chars FROM documents)"""
 )
 def corruption_share(spark: SparkSession, root: str) -> DataFrame:
@@ -234,7 +234,7 @@ def corruption_share(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    r"""SELECT doc_id, chars, lines, round(letters / greatest(chars, 1), 6) AS letter_share, round(dims / greatest(tokens, 1), 6) AS dimension_share,
+    r"""SELECT doc_id, chars::INTEGER AS chars, lines::INTEGER AS lines, round(letters / greatest(chars, 1), 6) AS letter_share, round(dims / greatest(tokens, 1), 6) AS dimension_share,
       chars >= 400 AND letters >= 0.6 * chars AND dims <= 0.12 * tokens AS is_prose FROM (
       SELECT doc_id, length(regexp_replace(text, '[\s\p{Z}\x{85}]', '', 'g')) AS chars, len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) AS lines, length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters,
       len(regexp_extract_all(text, '\S+')) AS tokens, len(regexp_extract_all(text, '(?:^|\s)[⌀RrМM]?\d+(?:[.,xх×]\d+)*')) AS dims FROM documents)"""
@@ -256,7 +256,7 @@ def prose_share(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    """SELECT doc_id, count(*) AS lines, count(*) FILTER (WHERE r <= 3) AS kept FROM (
+    """SELECT doc_id, count(*)::INTEGER AS lines, (count(*) FILTER (WHERE r <= 3))::INTEGER AS kept FROM (
       SELECT doc_id, line_no, row_number() OVER (PARTITION BY doc_id, g, line ORDER BY line_no) AS r FROM (
         SELECT *, line_no - row_number() OVER (PARTITION BY doc_id, line ORDER BY line_no) AS g FROM (
           SELECT doc_id, unnest(generate_series(1, len(l))) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)))) GROUP BY doc_id"""
@@ -274,7 +274,7 @@ def collapsed_loops(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "documents").filter("text is not null").select("doc_id", F.size(lines).alias("lines"), step["kept"].alias("kept"))
 
 
-@R.query("SELECT doc_id, 'doc-' || substr(sha256(s3_fileid), 1, 32) AS file_doc, sha256(text) AS text_hash, length(text) AS chars FROM documents")
+@R.query("SELECT doc_id, 'doc-' || substr(sha256(s3_fileid), 1, 32) AS file_doc, sha256(text) AS text_hash, length(text)::INTEGER AS chars FROM documents")
 def document_ids(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "documents").select("doc_id", H.doc_id(F.col("s3_fileid")).alias("file_doc"), F.sha2("text", 256).alias("text_hash"), F.length("text").alias("chars"))
 

@@ -43,7 +43,7 @@ def lines_in_blocks(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    """SELECT s3_fileid, page, count(*) AS lines, sum(length(text)) AS chars, round(sum(confidence * length(text)) / sum(length(text)) FILTER (WHERE confidence IS NOT NULL), 6) AS confidence,
+    """SELECT s3_fileid, page, count(*) AS lines, sum(length(text))::BIGINT AS chars, round(sum(confidence * length(text)) / sum(length(text)) FILTER (WHERE confidence IS NOT NULL), 6) AS confidence,
       round(coalesce(sum(length(text)) FILTER (WHERE confidence < 0.35), 0) / sum(length(text)), 6) AS unreadable,
       CASE WHEN coalesce(sum(length(text)) FILTER (WHERE confidence < 0.35), 0) > 0.6 * sum(length(text)) THEN 'unreadable' WHEN sum(confidence * length(text)) / sum(length(text)) FILTER (WHERE confidence IS NOT NULL) < 0.65 THEN 'doubtful' ELSE 'readable' END AS verdict
     FROM text_lines WHERE method = 'tesseract' AND length(text) > 0 GROUP BY s3_fileid, page"""
@@ -138,7 +138,7 @@ def merged_lines(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    """SELECT s3_fileid, tile, greatest(0.0, (tile % 3) / 3.0 - 0.1 / 3) AS x1, greatest(0.0, (tile // 3) / 2.0 - 0.1 / 2) AS y1, least(1.0, (tile % 3 + 1) / 3.0 + 0.1 / 3) AS x2, least(1.0, (tile // 3 + 1) / 2.0 + 0.1 / 2) AS y2
+    """SELECT s3_fileid, tile::INTEGER AS tile, greatest(0.0, (tile % 3) / 3.0 - 0.1 / 3) AS x1, greatest(0.0, (tile // 3) / 2.0 - 0.1 / 2) AS y1, least(1.0, (tile % 3 + 1) / 3.0 + 0.1 / 3) AS x2, least(1.0, (tile // 3 + 1) / 2.0 + 0.1 / 2) AS y2
       FROM (SELECT DISTINCT s3_fileid FROM text_lines), (SELECT unnest(generate_series(0, 5)) AS tile)"""
 )
 def tile_boxes(spark: SparkSession, root: str) -> DataFrame:
@@ -146,7 +146,7 @@ def tile_boxes(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    r"""SELECT line_id, length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS letters, len(regexp_extract_all(text, '(?:[a-zA-Z][а-яёА-ЯЁ]|[а-яёА-ЯЁ][a-zA-Z])')) AS seams, lower(translate(text, 'АВЕКМНОРСТУХаеорсух', 'ABEKMHOPCTYXaeopcyx')) AS folded FROM text_lines WHERE method = 'text_layer'"""
+    r"""SELECT line_id, length(regexp_replace(text, '[^\p{L}]', '', 'g'))::INTEGER AS letters, len(regexp_extract_all(text, '(?:[a-zA-Z][а-яёА-ЯЁ]|[а-яёА-ЯЁ][a-zA-Z])'))::INTEGER AS seams, lower(translate(text, 'АВЕКМНОРСТУХаеорсух', 'ABEKMHOPCTYXaeopcyx')) AS folded FROM text_lines WHERE method = 'text_layer'"""
 )
 def folded_lines(spark: SparkSession, root: str) -> DataFrame:
     df = table(spark, root, "text_lines").filter("method = 'text_layer'")

@@ -87,7 +87,7 @@ def presence(spark: SparkSession, root: str) -> DataFrame:
     return asked.join(have, "s3_fileid", "left").select("s3_fileid", state.alias("present"))
 
 
-@R.query(f"SELECT doc_id, category, round(score, 6) AS score, hits FROM ({rules.sql_scores('documents', 'doc_id', 'text')}) WHERE score > 0")
+@R.query(f"SELECT doc_id, category, round(score, 6) AS score, hits::BIGINT AS hits FROM ({rules.sql_scores('documents', 'doc_id', 'text')}) WHERE score > 0")
 def rule_scores(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     of = [F.struct(F.lit(m.category).alias("category"), rules.marker_value(F.col("text"), m).alias("v")) for m in rules.PACK]
@@ -134,7 +134,7 @@ def first_claims(spark: SparkSession, root: str) -> DataFrame:
     return df.groupBy("file_hash").agg(F.min_by("s3_fileid", "file_no").alias("owner"), F.count("*").alias("claims"), F.countDistinct("s3_fileid").alias("claimants"))
 
 
-@R.query("SELECT file_no, s3_fileid, arrived_at FROM intake_files WHERE outcome = 'quarantine' ORDER BY arrived_at, file_no LIMIT 100")
+@R.query("SELECT file_no, s3_fileid, arrived_at AT TIME ZONE 'UTC' AS arrived_at FROM intake_files WHERE outcome = 'quarantine' ORDER BY intake_files.arrived_at, file_no LIMIT 100")
 def quarantine_queue(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "intake_files").filter("outcome = 'quarantine'").orderBy("arrived_at", "file_no").limit(100).select("file_no", "s3_fileid", "arrived_at")
 
@@ -195,7 +195,7 @@ def near_fingerprints(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    r"""SELECT file_no, coalesce(length(regexp_replace(text_sample, '\s', '', 'g')), 0) AS chars, coalesce(length(trim(text_sample)), 0) < 20 AS too_little,
+    r"""SELECT file_no, coalesce(length(regexp_replace(text_sample, '[\s\p{Z}\x{85}]', '', 'g')), 0) AS chars, coalesce(length(trim(text_sample)), 0) < 20 AS too_little,
       CASE WHEN y BETWEEN 1950 AND 2025 THEN y END AS year, CASE WHEN y BETWEEN 1950 AND 2025 THEN 2025 - y END AS age,
       CASE WHEN y IS NULL OR y NOT BETWEEN 1950 AND 2025 THEN 'undated' WHEN 2025 - y > 5 THEN 'old' ELSE 'fresh' END AS freshness
       FROM (SELECT *, try_cast(nullif(regexp_extract(s3_fileid, '(?:^|/)(\d{4})(?:/|$)', 1), '') AS INT) AS y FROM intake_files)"""

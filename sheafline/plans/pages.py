@@ -16,7 +16,7 @@ R = Registry()
 
 
 @R.query(
-    """SELECT s3_fileid, first_page // 1 AS first_page, last_page, size FROM (SELECT s3_fileid, min(page) AS first_page, max(page) AS last_page, min(size) AS size FROM (
+    """SELECT s3_fileid, first_page, last_page, size FROM (SELECT s3_fileid, min(page) AS first_page, max(page) AS last_page, min(size) AS size FROM (
       SELECT *, (row_number() OVER (PARTITION BY s3_fileid, island ORDER BY page) - 1) // 4 AS batch FROM (
         SELECT *, sum(f) OVER (PARTITION BY s3_fileid ORDER BY page) AS island FROM (
           SELECT *, CASE WHEN lag(size) OVER w = size AND lag(page) OVER w = page - 1 THEN 0 ELSE 1 END AS f FROM (SELECT s3_fileid, page, round(median(font_size))::INT AS size FROM text_lines WHERE font_size IS NOT NULL GROUP BY ALL) WINDOW w AS (PARTITION BY s3_fileid ORDER BY page)))) GROUP BY s3_fileid, island, batch)"""
@@ -69,7 +69,7 @@ def review_reasons(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    """SELECT s3_fileid, unnest(generate_series(1, m)) AS page FROM (SELECT s3_fileid, max(page) AS m FROM text_lines WHERE page > 0 GROUP BY 1) EXCEPT SELECT s3_fileid, position.page FROM fragments WHERE position.page IS NOT NULL"""
+    """SELECT s3_fileid, unnest(generate_series(1, m))::INTEGER AS page FROM (SELECT s3_fileid, max(page) AS m FROM text_lines WHERE page > 0 GROUP BY 1) EXCEPT SELECT s3_fileid, position.page FROM fragments WHERE position.page IS NOT NULL"""
 )
 def unread_pages(spark: SparkSession, root: str) -> DataFrame:
     """Pages up to the last with lines that no fragment is there for."""

@@ -16,7 +16,7 @@ R = Registry()
 
 
 @R.query(
-    """SELECT request_id, count(*) AS posts, min(received_at) AS first_post, max(received_at) AS last_post, count(DISTINCT event_id) AS events, max(len(s3_fileid)) AS files,
+    """SELECT request_id, count(*) AS posts, min(received_at) AT TIME ZONE 'UTC' AS first_post, max(received_at) AT TIME ZONE 'UTC' AS last_post, count(DISTINCT event_id) AS events, max(len(s3_fileid))::INTEGER AS files,
       CASE WHEN count(*) = 1 THEN 'single' WHEN count(DISTINCT s3_fileid::VARCHAR) = 1 THEN 'replay' ELSE 'conflict' END AS kind FROM parse_requests GROUP BY request_id"""
 )
 def repeated_requests(spark: SparkSession, root: str) -> DataFrame:
@@ -57,7 +57,7 @@ def request_progress(spark: SparkSession, root: str) -> DataFrame:
 
 @R.query(
     """WITH asked AS (SELECT id AS s3_fileid, min(received_at) AS asked_at FROM (SELECT unnest(s3_fileid) AS id, received_at FROM parse_requests) GROUP BY 1), run AS (SELECT s3_fileid, max(parsed_at) AS parsed_at FROM reconcile_stats GROUP BY 1)
-    SELECT a.s3_fileid, a.asked_at, CASE WHEN r.parsed_at IS NOT NULL THEN 'done' WHEN epoch(TIMESTAMP '2025-04-10 00:00:00') - epoch(a.asked_at::TIMESTAMP) > 4200 THEN 'lost' ELSE 'running' END AS state FROM asked a LEFT JOIN run r USING (s3_fileid)"""
+    SELECT a.s3_fileid, a.asked_at AT TIME ZONE 'UTC' AS asked_at, CASE WHEN r.parsed_at IS NOT NULL THEN 'done' WHEN epoch(TIMESTAMP '2025-04-10 00:00:00') - epoch(a.asked_at::TIMESTAMP) > 4200 THEN 'lost' ELSE 'running' END AS state FROM asked a LEFT JOIN run r USING (s3_fileid)"""
 )
 def lost_tasks(spark: SparkSession, root: str) -> DataFrame:
     """Files asked for more than 4200 s before the fixed reference time without any result; a result is never overwritten."""
@@ -96,8 +96,8 @@ def _level() -> F.Column:
 
 
 _LEVEL = f"CASE method {' '.join(f"WHEN '{k}' THEN {v[1]}" for k, v in METHODS.items())} ELSE 5 END"
-_CANDIDATES = f"""SELECT *, round(least(1.0, greatest(0.0, round(CASE WHEN max(structured) OVER (PARTITION BY s3_fileid) AND NOT structured THEN (0.5 * confidence + 0.5 * completeness) * 0.55 ELSE 0.5 * confidence + 0.5 * completeness END, 9))), 6) AS score FROM (
-      SELECT s3_fileid, level, sum(c)::BIGINT AS chars, sum(confidence * greatest(c, 1)) / sum(greatest(c, 1)) AS confidence, least(1.0, sum(c) / (150 * greatest(count(DISTINCT page), 1))) AS completeness, bool_or(st) AS structured FROM (
+_CANDIDATES = f"""SELECT *, round(least(1.0, greatest(0.0, round(CASE WHEN max(structured) OVER (PARTITION BY s3_fileid) AND NOT structured THEN (0.5 * confidence + 0.5 * completeness) * 0.55 ELSE 0.5 * confidence + 0.5 * completeness END, 9))), 8) AS score FROM (
+      SELECT s3_fileid, level, sum(c)::BIGINT AS chars, round(sum(confidence * greatest(c, 1)) / sum(greatest(c, 1)), 4) AS confidence, round(least(1.0, sum(c) / (150 * greatest(count(DISTINCT page), 1))), 4) AS completeness, bool_or(st) AS structured FROM (
         SELECT s3_fileid, {_LEVEL} AS level, position.page AS page, confidence, length(regexp_replace(coalesce(text, ''), '[\\s\\p{{Z}}\\x{{85}}]', '', 'g')) + coalesce(length(structured_payload.table_html), 0) AS c, fragment_type IN ('table', 'formula') AS st FROM fragments) GROUP BY s3_fileid, level)"""
 
 
