@@ -1,7 +1,7 @@
 """New batches against all accepted history: exact and near repeats without reading the history again.
 
 The history lives in two written tables, one folder a batch. ``bands`` holds one row per record and band, laid out by a bucket of the band's
-key and sorted by it; ``sketches`` holds the record's folded words and is laid out by a bucket of the record's number. A batch computes its
+key and sorted by it; ``sketches`` holds the record's folded words. A batch computes its
 own keys, reads only the buckets its keys fall into, verifies what it meets there word by word, and appends the keys of
 those of its records that repeat nothing exactly.
 
@@ -35,7 +35,7 @@ BANDS, ROWS = 28, 7
 LIMIT = 0.15
 CROWD = 40
 BUCKETS = 64
-SKETCHES, BAND_ROWS = "id long, bag string, n int, words string, bucket int", "key long, id long, n int, bucket int"
+SKETCHES, BAND_ROWS = "id long, bag string, n int, words string", "key long, id long, n int, bucket int"
 
 
 def _parameters() -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +128,7 @@ class HistoryIndex:
             heads = heads.withColumn("old_head", F.lit(None).cast("long"))
         heads = written(heads, "heads")
         fresh = new.join(heads.filter("old_head is null").select(F.col("head").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-        fresh.withColumn("bucket", F.pmod("id", F.lit(BUCKETS)).cast("int")).repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(self._own("sketches"))
+        fresh.select("id", "bag", "n", "words").write.mode("overwrite").parquet(self._own("sketches"))
         fresh = self.spark.read.schema(SKETCHES).parquet(self._own("sketches"))
         keyed = fresh.select("id", "n", "words").mapInPandas(_bands, "key long, id long, n int").withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int"))
         keyed.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").mode("overwrite").parquet(self._own("bands"))
@@ -167,8 +167,10 @@ class HistoryIndex:
         fits = F.least("a.n", "b.n") >= (1 - self.limit) * F.greatest("a.n", "b.n")
         candidates = b.join(a, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & fits).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
         crowded = met.filter(F.col("members") > self.crowd).groupBy("id").agg(F.max("fresh").alias("fresh"))
-        candidates = candidates.unionByName(self._rare_pairs(crowded, words)).distinct()
-        texts = words.select("id", "words")
+        candidates = written(candidates.unionByName(self._rare_pairs(crowded, words)).distinct(), "candidates")
+        # only the texts of candidates move
+        wanted = candidates.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+        texts = words.select("id", "words").join(F.broadcast(wanted) if table_bytes(candidates) < 8 << 20 else wanted, "id", "left_semi")
         paired = candidates.join(texts.select(F.col("id").alias("id_b"), F.col("words").alias("wb")), "id_b").join(texts.select(F.col("id").alias("id_a"), F.col("words").alias("wa")), "id_a")
         near = paired.withColumn("distance", _distance("wa", "wb")).filter(F.col("distance") <= self.limit)
         return near.groupBy("id_b").agg(F.min("id_a").alias("id_a"))
