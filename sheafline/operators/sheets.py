@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import re
 from collections import deque
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -105,3 +106,28 @@ def stale_tokens(recognised: str, structured: str) -> dict[str, list[str]]:
         near = any(len(h) == len(t) and sum(x != y for x, y in zip(h, t, strict=True)) == 1 and any(x != y and x.isdigit() and y.isdigit() for x, y in zip(h, t, strict=True)) for h in have)
         out["repeat" if t in have else "variant" if near else "own"].append(t)
     return out
+
+
+def transcript_runs(lines: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """(s3_fileid, page, fragment_no, first_line, lines, ratio): for each text of ``transcripts`` the run of its page's recognised lines that it corrects.
+
+    A page's lines are gathered as one array, bounded by the page; texts without such a run give no row.
+    """
+    page = lines.groupBy("s3_fileid", "page").agg(F.sort_array(F.collect_list(F.struct("line_no", "line_id", "text"))).alias("l"))
+    both = transcripts.filter("fragment_type = 'text' and text is not null").select("fragment_no", "s3_fileid", F.col("position.page").alias("page"), "text").join(page, ["s3_fileid", "page"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for no, file, page_no, text, recognised in pdf.itertuples(index=False):
+                got = best_run(" ".join(text.split()), [r["text"] or "" for r in recognised])
+                if got:
+                    out.append((file, page_no, no, int(recognised[got[0]]["line_no"] or 0), got[1] - got[0], round(got[2], 6)))
+            yield pd.DataFrame(out, columns=["s3_fileid", "page", "fragment_no", "first_line", "lines", "ratio"])
+
+    return both.select("fragment_no", "s3_fileid", "page", "text", "l").mapInPandas(run, "s3_fileid string, page int, fragment_no long, first_line int, lines int, ratio double")
+
+
+def record_text(parts: list[tuple[str, F.Column]]) -> F.Column:
+    """A record's text from its named parts in a fixed order; parts without content leave no trace."""
+    return F.concat_ws("\n", *[F.when(F.trim(c) != "", F.concat(F.lit(f"{name}: "), c)) for name, c in parts])

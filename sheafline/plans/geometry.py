@@ -195,3 +195,24 @@ def unglued_lines(spark: SparkSession, root: str) -> DataFrame:
 def formula_prose(spark: SparkSession, root: str) -> DataFrame:
     df = table(spark, root, "fragments").filter("formula is not null").select("fragment_no", "formula")
     return repair.apply(df, "formula", repair.mangled_prose).select("fragment_no", "repaired.text", "repaired.changed")
+
+
+@R.query(
+    """SELECT fragment_no, concat_ws(chr(10), CASE WHEN trim(section_title) <> '' THEN 'section: ' || section_title END, CASE WHEN trim(text) <> '' THEN 'text: ' || text END, CASE WHEN trim(formula) <> '' THEN 'formula: ' || formula END,
+      CASE WHEN trim(structured_payload.table_html) <> '' THEN 'table: ' || structured_payload.table_html END) AS record FROM fragments"""
+)
+def fragment_records(spark: SparkSession, root: str) -> DataFrame:
+    parts = [("section", F.col("section_title")), ("text", F.col("text")), ("formula", F.col("formula")), ("table", F.col("structured_payload.table_html"))]
+    return table(spark, root, "fragments").select("fragment_no", sheets.record_text(parts).alias("record"))
+
+
+@R.query(
+    """SELECT s3_fileid, page, count(*) AS tokens, count(f.w) AS repeated FROM (SELECT DISTINCT s3_fileid, page, unnest(regexp_extract_all(lower(text), '\\S+')) AS w FROM text_lines WHERE method = 'tesseract') t
+      LEFT JOIN (SELECT DISTINCT s3_fileid, position.page AS page, unnest(regexp_extract_all(lower(text), '\\S+')) AS w FROM fragments WHERE text IS NOT NULL) f USING (s3_fileid, page, w) GROUP BY s3_fileid, page"""
+)
+def repeated_tokens(spark: SparkSession, root: str) -> DataFrame:
+    """How many distinct recognised tokens of a page its fragments hold already."""
+    words = lambda c: F.explode(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"\S+"), F.lit(0))))
+    mine = table(spark, root, "text_lines").filter("method = 'tesseract'").select("s3_fileid", "page", words("text").alias("w")).distinct()
+    there = table(spark, root, "fragments").filter("text is not null").select("s3_fileid", F.col("position.page").alias("page"), words("text").alias("w")).distinct().withColumn("k", F.lit(1))
+    return mine.join(there, ["s3_fileid", "page", "w"], "left").groupBy("s3_fileid", "page").agg(F.count("*").alias("tokens"), F.count("k").alias("repeated"))

@@ -70,3 +70,11 @@ def test_layout(spark):
     again = spark.createDataFrame([(9, "f", 1, 0.0, 0.8, "A", (0.1, 0.101, 0.4, 0.121)), (8, "f", 1, 0.0, 0.51, "A", (0.1, 0.1, 0.4, 0.12))], LINE)
     assert [tuple(r) for r in layout.better_reading(lines, again).collect()] == [(1, 9)]
     assert layout.paragraphs(lines.limit(0)).count() == 0
+
+
+def test_transcripts(spark):
+    lines = spark.createDataFrame([(i, "f", 1, i, t) for i, t in enumerate(["шапка", "Насос центробежиый", "12 шт", None])], "line_id long, s3_fileid string, page int, line_no int, text string")
+    frags = spark.createDataFrame([(7, "f", "text", "Насос центробежный 12 шт", (1,)), (8, "f", "text", None, (1,)), (9, "g", "text", "Насос центробежный 12 шт", (1,))], "fragment_no long, s3_fileid string, fragment_type string, text string, position struct<page: int>")
+    got = sheets.transcript_runs(lines, frags).collect()
+    assert [(r.fragment_no, r.first_line, r.lines) for r in got] == [(7, 1, 2)]
+    assert sheets.transcript_runs(lines.limit(0), frags).count() == 0
