@@ -38,11 +38,12 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("br hr img input meta link base col wbr".split())
 
-TAG = re.compile(r"<!--.*?-->|</?([A-Za-z][A-Za-z0-9]*)((?:\s+[^<>]*?)?)\s*/?>", re.S)
+# Bounds on the length of one construct keep openings without an end from costing the square of a text's length.
+TAG = re.compile(r"<!--.{0,20000}?-->|</?([A-Za-z][A-Za-z0-9]*)((?:\s+[^<>]*?)?)\s*/?>", re.S)
 ENTITY = re.compile(r"&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 SUSPECT = r"""[<>&\\$`~\[{|*_#=+]|''|-{3,}"""
 
-MATH = re.compile(r"\$\$[^$]+\$\$|\$[^$\n]+\$|\\\(.+?\\\)|\\\[.+?\\\]|\\begin\{(equation|align|displaymath|math|gather|array|cases|matrix|pmatrix)\*?\}.*?\\end\{\1\*?\}|<math>.*?</math>", re.S)
+MATH = re.compile(r"\$\$[^$]+\$\$|\$[^$\n]+\$|\\\(.{1,20000}?\\\)|\\\[.{1,20000}?\\\]|\\begin\{(equation|align|displaymath|math|gather|array|cases|matrix|pmatrix)\*?\}.{0,20000}?\\end\{\1\*?\}|<math>.*?</math>", re.S)
 LATEX_CODE = re.compile(r"\\begin\{(verbatim|lstlisting|minted)\*?\}(?:\{[^}\n]*\}|\[[^\]\n]*\])*(.*?)\\end\{\1\*?\}|\\(?:verb|lstinline)\*?([|!+/])(.*?)\3", re.S)
 LATEX_CMD = re.compile(
     r"(?<![\\\w:])\\(?:(?:text|math)(?:bf|it|rm|sf|tt|sc|sl|up|md|normal)|emph|uline|underline|sout|mbox|hbox|fbox|makebox|(?:sub)*section\*?|chapter\*?|part\*?|(?:sub)?paragraph\*?|title|author|date|caption|"
@@ -59,7 +60,7 @@ LATEX_NOT_MONEY = re.compile(r"\\[A-Za-z]+|[_^]|[A-Za-zα-ωΑ-Ω]")
 
 WIKI_LINK = re.compile(r"\[\[(?:[^\[\]\n|]+)(?:\|[^\[\]\n]*)*\]\]")
 WIKI_TEMPLATE = re.compile(r"\{\{[^{}]*\}\}", re.S)
-WIKI_QUOTE = re.compile(r"(?<!')('{2,6})(?=[^\s'])([^\n]*?[^\s'])\1(?!')")
+WIKI_QUOTE = re.compile(r"(?<!')('{2,6})(?=[^\s'])([^\n]{0,2000}?[^\s'])\1(?!')")
 WIKI_HEAD = re.compile(r"(?m)^[ \t]*(={1,6})[ \t]*([^=\n][^\n]*?[^=\s]|[^=\s])[ \t]*\1[ \t]*$")
 WIKI_TABLE = re.compile(r"(?ms)^[ \t]*\{\|.*?^[ \t]*\|\}")
 WIKI_EXTLINK = re.compile(r"(?<!\[)\[(?:https?|ftp)://[^\s\]]+(?:\s[^\]\n]*)?\](?!\()")
@@ -69,9 +70,9 @@ MD_FENCE = re.compile(r"(?ms)^[ \t]{0,3}(```+|~~~+)[^\n]*\n(.*?)^[ \t]{0,3}\1[`~
 MD_HEAD = re.compile(r"(?m)^[ ]{0,3}(#{1,6})[ \t]+(\S[^\n]*?)(?:[ \t]+#+)?[ \t]*$")
 MD_UNDERLINE = re.compile(r"(?m)^[ ]{0,3}(={3,}|-{3,})[ \t]*$")
 MD_LINK = re.compile(r"!?\[([^\[\]\n]*)\]\(([^()\s]+)(?:[ \t]+[\"'][^\"'\n]*[\"'])?\)|!?\[([^\[\]\n]+)\]\[[^\[\]\n]*\]|(?m:^[ ]{0,3}\[[^\]\n]+\]:[ \t]+\S+.*$)|<https?://[^>\s]+>")
-MD_STRONG = re.compile(r"(?<![*\w\\])(\*{1,3})(?=[^\s*])([^*\n]*?[^\s*])\1(?![*\w])|(?<![*\\])(\*{2,3})(?=[^\s*])([^*\n]*?[^\s*])\3(?!\*)|(?<![\w\\])(_{1,3})(?=[^\s_])([^\n]*?[^\s_\\])\5(?!\w)")
+MD_STRONG = re.compile(r"(?<![*\w\\])(\*{1,3})(?=[^\s*])([^*\n]*?[^\s*])\1(?![*\w])|(?<![*\\])(\*{2,3})(?=[^\s*])([^*\n]*?[^\s*])\3(?!\*)|(?<![\w\\])(_{1,3})(?=[^\s_])([^\n]{0,2000}?[^\s_\\])\5(?!\w)")
 MD_STRIKE = re.compile(r"(?<!~)(~{2,4})(?=[^\s~])([^~\n]*?[^\s~])\1(?!~)")
-MD_TICK = re.compile(r"(?<!`)(`{1,2})(?=[^`])([^\n]*?[^`])\1(?!`)")
+MD_TICK = re.compile(r"(?<!`)(`{1,2})(?=[^`])([^\n]{0,2000}?[^`])\1(?!`)")
 MD_QUOTE = re.compile(r"(?m)^[ ]{0,3}>[ \t]?(?=\S)")
 MD_TABLE = re.compile(r"(?m)^[ ]{0,3}\|?[^|\n]+(?:\|[^|\n]*)+\|?[ \t]*\n[ ]{0,3}\|?[ \t]*:?-{1,}:?[ \t]*(?:\|[ \t]*:?-{1,}:?[ \t]*)+\|?[ \t]*$")
 MD_TASK = re.compile(r"(?m)^[ \t]*[-*+][ \t]+\[[ xX]\][ \t]")
