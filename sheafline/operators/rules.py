@@ -72,6 +72,11 @@ def score(df: DataFrame, text: str, pack: tuple[Marker, ...] = PACK, order: tupl
     return ranked.withColumn(out, result).drop("__v", "__r")
 
 
+def discount(confidence: Column, inspected: Column, enough: float = 0.2, least: float = 0.1) -> Column:
+    """Confidence lowered where less than ``enough`` of a document was looked at, to a tenth at most."""
+    return F.when(inspected < enough, confidence * F.greatest(F.lit(least), inspected / enough)).otherwise(confidence)
+
+
 def sql_scores(table: str, id_col: str, text: str, pack: tuple[Marker, ...] = PACK) -> str:
     """The same scores as SQL: one row a record and category."""
     parts = []

@@ -216,3 +216,15 @@ def repeated_tokens(spark: SparkSession, root: str) -> DataFrame:
     mine = table(spark, root, "text_lines").filter("method = 'tesseract'").select("s3_fileid", "page", words("text").alias("w")).distinct()
     there = table(spark, root, "fragments").filter("text is not null").select("s3_fileid", F.col("position.page").alias("page"), words("text").alias("w")).distinct().withColumn("k", F.lit(1))
     return mine.join(there, ["s3_fileid", "page", "w"], "left").groupBy("s3_fileid", "page").agg(F.count("*").alias("tokens"), F.count("k").alias("repeated"))
+
+
+@R.query(
+    """SELECT line_id FROM (SELECT *, sum(length(text)) FILTER (WHERE confidence >= 0.65 OR confidence IS NULL) OVER (PARTITION BY s3_fileid, page) AS sure FROM text_lines WHERE method = 'tesseract') WHERE NOT (coalesce(sure, 0) >= 200 AND confidence < 0.35)"""
+)
+def kept_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Recognised lines without the unreadable ones, on pages that have 200 sure characters or more; other pages keep all."""
+    df = table(spark, root, "text_lines").filter("method = 'tesseract'")
+    sure = F.when((F.col("confidence") >= 0.65) | F.col("confidence").isNull(), F.length("text"))
+    pages = df.groupBy("s3_fileid", "page").agg(F.sum(sure).alias("sure"))
+    drop = (F.coalesce("sure", F.lit(0)) >= 200) & F.coalesce(F.col("confidence") < 0.35, F.lit(False))
+    return df.join(pages, ["s3_fileid", "page"]).filter(~drop).select("line_id")

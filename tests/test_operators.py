@@ -112,3 +112,8 @@ def test_numbers_within_a_key(spark):
         mine = sorted((r.o, r.n) for r in got if r.k == key)
         assert [n for _, n in mine] == list(range(1, len(mine) + 1))
     assert ranks.numbered(spark.createDataFrame([], "k string, o long"), "k", "o").count() == 0
+
+
+def test_discount(spark):
+    df = spark.createDataFrame([(0.8, 0.5), (0.8, 0.1), (0.8, 0.0), (0.8, None)], "c double, i double")
+    assert [round(r[0], 6) for r in df.select(rules.discount(F.col("c"), F.col("i"))).collect()] == [0.8, 0.4, 0.08, 0.8]
