@@ -219,7 +219,7 @@ def repeated_tokens(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    """SELECT line_id FROM (SELECT *, sum(length(text)) FILTER (WHERE confidence >= 0.65 OR confidence IS NULL) OVER (PARTITION BY s3_fileid, page) AS sure FROM text_lines WHERE method = 'tesseract') WHERE NOT (coalesce(sure, 0) >= 200 AND confidence < 0.35)"""
+    """SELECT line_id FROM (SELECT *, sum(length(text)) FILTER (WHERE confidence >= 0.65 OR confidence IS NULL) OVER (PARTITION BY s3_fileid, page) AS sure FROM text_lines WHERE method = 'tesseract') WHERE NOT (coalesce(sure, 0) >= 200 AND coalesce(confidence < 0.35, FALSE))"""
 )
 def kept_lines(spark: SparkSession, root: str) -> DataFrame:
     """Recognised lines without the unreadable ones, on pages that have 200 sure characters or more; other pages keep all."""
