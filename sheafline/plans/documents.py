@@ -11,7 +11,7 @@ from sheafline.functions import units as U
 from sheafline.functions.files import lookup
 from sheafline.operators import chunking, facts, parts, ranks, tables
 from sheafline.plans.registry import Registry
-from sheafline.session import table
+from sheafline.session import spread, table
 
 R = Registry()
 
@@ -289,22 +289,22 @@ def corpus_profile(spark: SparkSession, root: str) -> DataFrame:
 
 @R.query()
 def chunks_fixed(spark: SparkSession, root: str) -> DataFrame:
-    return chunking.chunks(table(spark, root, "documents"), "doc_id", "text", "fixed")
+    return chunking.chunks(spread(table(spark, root, "documents").select("doc_id", "text")), "doc_id", "text", "fixed")
 
 
 @R.query()
 def chunks_paragraph(spark: SparkSession, root: str) -> DataFrame:
-    return chunking.chunks(table(spark, root, "documents"), "doc_id", "text", "paragraph")
+    return chunking.chunks(spread(table(spark, root, "documents").select("doc_id", "text")), "doc_id", "text", "paragraph")
 
 
 @R.query()
 def chunks_semantic(spark: SparkSession, root: str) -> DataFrame:
-    return chunking.chunks(table(spark, root, "documents"), "doc_id", "text", "semantic")
+    return chunking.chunks(spread(table(spark, root, "documents").select("doc_id", "text")), "doc_id", "text", "semantic")
 
 
 @R.query()
 def facts_from_documents(spark: SparkSession, root: str) -> DataFrame:
-    return facts.extract(table(spark, root, "documents"), "doc_id", "text")
+    return facts.extract(spread(table(spark, root, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 @R.query()

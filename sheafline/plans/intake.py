@@ -10,7 +10,7 @@ from sheafline.functions import hashes as H
 from sheafline.functions import texts as X
 from sheafline.operators import rules
 from sheafline.plans.registry import Registry
-from sheafline.session import table
+from sheafline.session import spread, table
 
 R = Registry()
 
@@ -89,7 +89,7 @@ def presence(spark: SparkSession, root: str) -> DataFrame:
 
 @R.query(f"SELECT doc_id, category, round(score, 6) AS score, hits::BIGINT AS hits FROM ({rules.sql_scores('documents', 'doc_id', 'text')}) WHERE score > 0")
 def rule_scores(spark: SparkSession, root: str) -> DataFrame:
-    docs = table(spark, root, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = spread(table(spark, root, "documents").select("doc_id", "text")).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     of = [F.struct(F.lit(m.category).alias("category"), rules.marker_value(F.col("text"), m).alias("v")) for m in rules.PACK]
     each = docs.select("doc_id", F.explode(F.array(*of)).alias("m")).filter("m.v > 0")
     return each.groupBy("doc_id", "m.category").agg(F.round(F.sum("m.v"), 6).alias("score"), F.count("*").alias("hits"))
@@ -103,7 +103,7 @@ _RANKED = f"SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC
       round(CASE WHEN score > 0 THEN least(0.95, 0.45 + 0.40 * (score - second) / score + 0.05 * least(hits, 3)) ELSE 0.0 END, 6) AS confidence FROM ({_RANKED}) WHERE r = 1"""
 )
 def rule_category(spark: SparkSession, root: str) -> DataFrame:
-    docs = rules.score(table(spark, root, "documents").select("doc_id", "text"), "text")
+    docs = rules.score(spread(table(spark, root, "documents").select("doc_id", "text")), "text")
     return docs.select("doc_id", F.col("rules.category").alias("category"), F.round("rules.confidence", 6).alias("confidence"))
 
 
@@ -113,7 +113,7 @@ def rule_category(spark: SparkSession, root: str) -> DataFrame:
 )
 def gateway_report(spark: SparkSession, root: str) -> DataFrame:
     """The flagship: every document's text classified by rules, counted by category."""
-    docs = rules.score(table(spark, root, "documents").select("doc_id", "text"), "text")
+    docs = rules.score(spread(table(spark, root, "documents").select("doc_id", "text")), "text")
     return docs.groupBy(F.coalesce("rules.category", F.lit("none")).alias("category")).agg(F.count("*").alias("documents"), F.round(F.avg("rules.confidence"), 6).alias("confidence"))
 
 

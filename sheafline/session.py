@@ -51,6 +51,16 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def spread(df: DataFrame, most_bytes: int = 256 << 20) -> DataFrame:
+    """``df`` over all cores where a small table lies in fewer pieces than there are cores; larger tables stay as they are read.
+
+    For stages that compute much on little data (regular expressions, pandas functions over one small file).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if pieces < cores and table_bytes(df) < most_bytes else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
