@@ -8,18 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.llm import dedup, leakage, lookalikes, markup, packing, reading, scans, splitting
-from sheafline.session import table
+from sheafline.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
-    return markup.found(table(spark, root, "documents"), table(spark, root, "fragments"))
+    return markup.found(spread(table(spark, root, "documents").select("doc_id", "text")), table(spark, root, "fragments"))
 
 
 def p1_clean(spark: SparkSession, root: str) -> DataFrame:
     """Every document's clean text and how many blocks of each role it has."""
-    docs = markup.clean_markup(table(spark, root, "documents").select("doc_id", "text"))
+    docs = markup.clean_markup(spread(table(spark, root, "documents").select("doc_id", "text")))
     of = lambda role: F.size(F.filter("markup.blocks", lambda b: b["role"] == role))
     return docs.select("doc_id", F.col("markup.clean").alias("clean"), of("heading").alias("headings"), of("item").alias("items"), of("code").alias("codes"), of("formula").alias("formulas"), of("row").alias("table_rows"))
 
@@ -76,16 +76,16 @@ def p6_fill(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
-    return leakage.found(table(spark, root, "documents"), table(spark, root, "eval_items"))
+    return leakage.found(spread(table(spark, root, "documents").select("doc_id", "text")), table(spark, root, "eval_items"))
 
 
 def p7_aligned(spark: SparkSession, root: str) -> DataFrame:
     """Every document and item that share a seed, with the longest run and the alignment score."""
-    return leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_items"))
+    return leakage.leaks(spread(table(spark, root, "documents").select("doc_id", "text")), table(spark, root, "eval_items"))
 
 
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
-    return reading.found(table(spark, root, "documents"), table(spark, root, "doc_levels"))
+    return reading.found(spread(table(spark, root, "documents").select("doc_id", "text")), table(spark, root, "doc_levels"))
 
 
 QUERIES: dict[str, Query] = {
