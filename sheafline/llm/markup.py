@@ -16,6 +16,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,12 +39,61 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("br hr img input meta link base col wbr".split())
 
-# Bounds on the length of one construct keep openings without an end from costing the square of a text's length.
-TAG = re.compile(r"<!--.{0,20000}?-->|</?([A-Za-z][A-Za-z0-9]*)((?:\s+[^<>]*?)?)\s*/?>", re.S)
+
+class Forward:
+    """A pattern whose constructs run to an end mark, of any length. In texts of more than ``short`` characters (or, by ``line``, with such a line) an opening is
+    only tried where its end mark follows, and the next mark of each kind is remembered, so openings without an end do not cost the square of the length.
+
+    ``closing`` gives for an opening: a name and pattern of its end mark and the first place of the mark, or None if the pattern needs no help.
+    """
+
+    def __init__(self, pattern: re.Pattern[str], opening: str, closing: Callable[[re.Match[str]], tuple[str, int] | None], short: int, line: bool = False):
+        self.pattern, self.opening, self.closing, self.short, self.line = pattern, re.compile(opening), closing, short, line
+
+    def finditer(self, text: str) -> Iterator[re.Match[str]]:
+        if len(text) <= self.short or self.line and max(map(len, text.split("\n"))) <= self.short:
+            yield from self.pattern.finditer(text)
+            return
+        following: dict[str, int] = {}
+        at, end_of_line = 0, -1
+        while o := self.opening.search(text, at):
+            at = o.start() + 1
+            if (mark := self.closing(o)) is not None:
+                closer, least = mark
+                if following.get(closer, -1) < least:
+                    m = re.compile(closer).search(text, least)
+                    following[closer] = m.start() if m else len(text) + 2
+                if self.line and end_of_line < o.end():
+                    end_of_line = text.find("\n", o.end()) % (len(text) + 1)
+                # a mark may stand right behind the line break, where the pattern takes it for the last character
+                if following[closer] > (end_of_line + 1 if self.line else len(text)):
+                    continue
+            if m := self.pattern.match(text, o.start()):
+                yield m
+                at = m.end()
+
+    def findall(self, text: str) -> list[str]:
+        return [m[0] for m in self.finditer(text)]
+
+    def sub(self, new: str | Callable[[re.Match[str]], str], text: str) -> str:
+        out, at = [], 0
+        for m in self.finditer(text):
+            out += [text[at : m.start()], m.expand(new) if isinstance(new, str) else new(m)]
+            at = m.end()
+        return "".join([*out, text[at:]])
+
+
+def _math_end(o: re.Match[str]) -> tuple[str, int] | None:
+    if o[0] in ("\\(", "\\["):
+        return (r"\\\)" if o[0] == "\\(" else r"\\\]"), o.end() + 1
+    return (rf"\\end\{{{o[1]}\*?\}}", o.end()) if o[1] else ("</math>", o.end()) if o[0] == "<math>" else None
+
+
+TAG = Forward(re.compile(r"<!--.*?-->|</?([A-Za-z][A-Za-z0-9]*)((?:\s+[^<>]*?)?)\s*/?>", re.S), r"<!--|<", lambda o: ("-->", o.end()) if len(o[0]) > 1 else None, 20000)
 ENTITY = re.compile(r"&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 SUSPECT = r"""[<>&\\$`~\[{|*_#=+]|''|-{3,}"""
 
-MATH = re.compile(r"\$\$[^$]+\$\$|\$[^$\n]+\$|\\\(.{1,20000}?\\\)|\\\[.{1,20000}?\\\]|\\begin\{(equation|align|displaymath|math|gather|array|cases|matrix|pmatrix)\*?\}.{0,20000}?\\end\{\1\*?\}|<math>.*?</math>", re.S)
+MATH = Forward(re.compile(r"\$\$[^$]+\$\$|\$[^$\n]+\$|\\\(.+?\\\)|\\\[.+?\\\]|\\begin\{(equation|align|displaymath|math|gather|array|cases|matrix|pmatrix)\*?\}.*?\\end\{\1\*?\}|<math>.*?</math>", re.S), r"\$|\\[(\[]|\\begin\{(equation|align|displaymath|math|gather|array|cases|matrix|pmatrix)\*?\}|<math>", _math_end, 20000)
 LATEX_CODE = re.compile(r"\\begin\{(verbatim|lstlisting|minted)\*?\}(?:\{[^}\n]*\}|\[[^\]\n]*\])*(.*?)\\end\{\1\*?\}|\\(?:verb|lstinline)\*?([|!+/])(.*?)\3", re.S)
 LATEX_CMD = re.compile(
     r"(?<![\\\w:])\\(?:(?:text|math)(?:bf|it|rm|sf|tt|sc|sl|up|md|normal)|emph|uline|underline|sout|mbox|hbox|fbox|makebox|(?:sub)*section\*?|chapter\*?|part\*?|(?:sub)?paragraph\*?|title|author|date|caption|"
@@ -60,7 +110,7 @@ LATEX_NOT_MONEY = re.compile(r"\\[A-Za-z]+|[_^]|[A-Za-zα-ωΑ-Ω]")
 
 WIKI_LINK = re.compile(r"\[\[(?:[^\[\]\n|]+)(?:\|[^\[\]\n]*)*\]\]")
 WIKI_TEMPLATE = re.compile(r"\{\{[^{}]*\}\}", re.S)
-WIKI_QUOTE = re.compile(r"(?<!')('{2,6})(?=[^\s'])([^\n]{0,2000}?[^\s'])\1(?!')")
+WIKI_QUOTE = Forward(re.compile(r"(?<!')('{2,6})(?=[^\s'])([^\n]*?[^\s'])\1(?!')"), r"(?<!')'{2,6}(?=[^\s'])", lambda o: (rf"(?<=[^\s'])'{{{len(o[0])}}}(?!')", o.end() + 1), 2000, line=True)
 WIKI_HEAD = re.compile(r"(?m)^[ \t]*(={1,6})[ \t]*([^=\n][^\n]*?[^=\s]|[^=\s])[ \t]*\1[ \t]*$")
 WIKI_TABLE = re.compile(r"(?ms)^[ \t]*\{\|.*?^[ \t]*\|\}")
 WIKI_EXTLINK = re.compile(r"(?<!\[)\[(?:https?|ftp)://[^\s\]]+(?:\s[^\]\n]*)?\](?!\()")
@@ -70,9 +120,9 @@ MD_FENCE = re.compile(r"(?ms)^[ \t]{0,3}(```+|~~~+)[^\n]*\n(.*?)^[ \t]{0,3}\1[`~
 MD_HEAD = re.compile(r"(?m)^[ ]{0,3}(#{1,6})[ \t]+(\S[^\n]*?)(?:[ \t]+#+)?[ \t]*$")
 MD_UNDERLINE = re.compile(r"(?m)^[ ]{0,3}(={3,}|-{3,})[ \t]*$")
 MD_LINK = re.compile(r"!?\[([^\[\]\n]*)\]\(([^()\s]+)(?:[ \t]+[\"'][^\"'\n]*[\"'])?\)|!?\[([^\[\]\n]+)\]\[[^\[\]\n]*\]|(?m:^[ ]{0,3}\[[^\]\n]+\]:[ \t]+\S+.*$)|<https?://[^>\s]+>")
-MD_STRONG = re.compile(r"(?<![*\w\\])(\*{1,3})(?=[^\s*])([^*\n]*?[^\s*])\1(?![*\w])|(?<![*\\])(\*{2,3})(?=[^\s*])([^*\n]*?[^\s*])\3(?!\*)|(?<![\w\\])(_{1,3})(?=[^\s_])([^\n]{0,2000}?[^\s_\\])\5(?!\w)")
+MD_STRONG = Forward(re.compile(r"(?<![*\w\\])(\*{1,3})(?=[^\s*])([^*\n]*?[^\s*])\1(?![*\w])|(?<![*\\])(\*{2,3})(?=[^\s*])([^*\n]*?[^\s*])\3(?!\*)|(?<![\w\\])(_{1,3})(?=[^\s_])([^\n]*?[^\s_\\])\5(?!\w)"), r"\*|(?<![\w\\])(_{1,3})(?=[^\s_])", lambda o: (rf"(?<=[^\s_\\])_{{{len(o[0])}}}(?!\w)", o.end() + 1) if o[1] else None, 2000, line=True)
 MD_STRIKE = re.compile(r"(?<!~)(~{2,4})(?=[^\s~])([^~\n]*?[^\s~])\1(?!~)")
-MD_TICK = re.compile(r"(?<!`)(`{1,2})(?=[^`])([^\n]{0,2000}?[^`])\1(?!`)")
+MD_TICK = Forward(re.compile(r"(?<!`)(`{1,2})(?=[^`])([^\n]*?[^`])\1(?!`)"), r"(?<!`)`{1,2}(?=[^`])", lambda o: (rf"(?<=[^`])`{{{len(o[0])}}}(?!`)", o.end() + 1), 2000, line=True)
 MD_QUOTE = re.compile(r"(?m)^[ ]{0,3}>[ \t]?(?=\S)")
 MD_TABLE = re.compile(r"(?m)^[ ]{0,3}\|?[^|\n]+(?:\|[^|\n]*)+\|?[ \t]*\n[ ]{0,3}\|?[ \t]*:?-{1,}:?[ \t]*(?:\|[ \t]*:?-{1,}:?[ \t]*)+\|?[ \t]*$")
 MD_TASK = re.compile(r"(?m)^[ \t]*[-*+][ \t]+\[[ xX]\][ \t]")

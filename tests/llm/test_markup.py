@@ -1,3 +1,6 @@
+import random
+import time
+
 from sheafline.llm import markup as M
 
 DOC = "doc_id long, text string"
@@ -64,3 +67,27 @@ def test_nulls_empty_repeated_and_clashing_columns(spark):
     assert M.clean_markup(spark.createDataFrame([], DOC)).count() == 0
     frags = spark.createDataFrame([(1, None, None, None), (2, "", "", ("<table></table>",))], "fragment_no long, text string, formula string, structured_payload struct<table_html: string>")
     assert {r.fragment_no: r.markup.kinds for r in M.clean_fragments(frags).collect()} == {1: [], 2: []}
+
+
+def test_constructs_of_any_length_are_read():
+    long = "слово и ещё " * 4000
+    for text, kind in ((f"до <!-- {long} --> после", "html"), (f"\\emph{{a}} \\( x {long} \\) b", "latex"), (f"\\emph{{a}} \\begin{{align*}} x {long} \\end{{align*}} b", "latex"), (f"до ''{long}конец'' после", "wiki"), (f"до _{long}конец_ после", "markdown"), (f"до `{long}` после", "markdown")):
+        clean, kinds, blocks = M.clean_text(text)
+        short, _, short_blocks = M.clean_text(text.replace(long, "слово "))
+        assert list(kinds) == [kind] and [b[0] for b in blocks] == [b[0] for b in short_blocks]
+        assert not any(mark in clean and mark not in short for mark in ("<!--", "\\(", "\\begin", "''", "_", "`"))
+
+
+def test_forward_scan_finds_what_the_pattern_finds():
+    rng = random.Random(1)
+    signs = ["<!--", "-->", "<b>", "\\(", "\\)", "\\[", "\\]", "\\begin{align}", "\\begin{math*}", "\\end{align*}", "\\end{math}", "<math>", "</math>", "$", "'", "''", "_", "__", "`", "``", "*", "a", " ", "\n", "\\"]
+    scans = (M.TAG, M.MATH, M.WIKI_QUOTE, M.MD_STRONG, M.MD_TICK)
+    for _ in range(1500):
+        text = "".join(rng.choices(signs, k=rng.randint(2, 40)))
+        for f in scans:
+            forward = M.Forward(f.pattern, f.opening.pattern, f.closing, -1, f.line)
+            assert [m.span() for m in forward.finditer(text)] == [m.span() for m in f.pattern.finditer(text)]
+    began = time.time()
+    for f, opening in zip(scans, ("<!-- ", "\\( ", " ''a", " _a", " `a"), strict=True):
+        assert not [m for m in f.finditer(opening * 20_000) if len(m[0]) > 40_000]
+    assert time.time() - began < 10
