@@ -91,35 +91,13 @@ def seeds(hits: DataFrame, run: int = RUN, n: int = SEED) -> DataFrame:
 
 
 def longest_run(words: list[str], document: str, places: list[int], n: int = SEED) -> int:
-    """The longest run of consecutive item words whose joined form stands in the document's stream, around the given places."""
-    best, done = 0, -1
-    for p in sorted(places):
-        if p < done:
-            continue
-        start = p
-        at = "".join(words[p : p + n])
-        if at not in document:
-            continue
-        # grow to the left, then to the right; every position that the run may take is covered by the substring test
-        while start > 0 and words[start - 1] + at in document:
-            start -= 1
-            at = words[start] + at
-        end = p + n
-        while end < len(words) and at + words[end] in document:
-            at += words[end]
-            end += 1
-        best = max(best, min(end, len(words)) - start)
-        # a run that grows to the right first may start later: try from the seed alone
-        at, stop = "".join(words[p : p + n]), p + n
-        while stop < len(words) and at + words[stop] in document:
-            at += words[stop]
-            stop += 1
-        low = p
-        while low > 0 and words[low - 1] + at in document:
-            low -= 1
-            at = words[low] + at
-        best = max(best, min(stop, len(words)) - low)
-        done = min(end, stop) - n + 1
+    """The longest run of consecutive item words whose joined form stands in the document's stream, wherever; 0 if no seed of the given places does."""
+    best = 0
+    if any("".join(words[p : p + n]) in document for p in places):
+        # from each word on only a longer run than the best is looked for: at most two tests a word
+        for start in range(len(words)):
+            while start + best < len(words) and "".join(words[start : start + best + 1]) in document:
+                best += 1
     return best
 
 

@@ -60,3 +60,13 @@ def test_edges(spark):
     assert {(r.doc_id, r.item_id, r.run) for r in got} == {(3, 3, 6), (3, 4, 6)} and all(r.score == 1 for r in got)
     assert K.found(docs, items).count() == 0
     assert K.leaks(docs.limit(0), items).count() == 0 and K.leaks(docs, items.limit(0)).count() == 0
+
+
+def test_longest_run_over_several_quotations_of_an_item():
+    words = [f"w{chr(97 + i)}" for i in range(24)]
+    two = "".join(words[0:15]) + "x" + "".join(words[5:21])
+    assert K.longest_run(words, two, [2, 7]) == 16
+    # decoys that reach further left and further right of the seed
+    decoys = "x".join("".join(words[i:j]) for i, j in ((0, 13), (7, 24), (4, 20)))
+    assert K.longest_run(words, "".join(words[0:13]) + "x" + "".join(words[8:24]), [8]) == 16
+    assert K.longest_run(words, decoys, [7]) == 17 and K.longest_run(words, "none of them", [7]) == 0
