@@ -1,7 +1,8 @@
 """New batches against all accepted history: exact and near repeats without reading the history again.
 
-The history lives in two written tables, one folder a batch. ``bands`` holds one row per record and band, laid out by a bucket of the band's
-key and sorted by it; ``sketches`` holds the record's folded words. A batch computes its
+The history lives in three written tables, one folder a batch. ``bands`` holds one row per record and band, laid out by a bucket of the band's
+key and sorted by it; ``sketches`` holds the record's folded words, ``nearest`` the earliest record that a
+class was found near to, which its later exact repeats take too. A batch computes its
 own keys, reads only the buckets its keys fall into, verifies what it meets there word by word, and appends the keys of
 those of its records that repeat nothing exactly.
 
@@ -35,7 +36,7 @@ BANDS, ROWS = 28, 7
 LIMIT = 0.15
 CROWD = 40
 BUCKETS = 64
-SKETCHES, BAND_ROWS = "id long, bag string, n int, words string", "key long, id long, n int, bucket int"
+SKETCHES, BAND_ROWS, NEAREST = "id long, bag string, n int, words string", "key long, id long, n int, bucket int", "id long, near long"
 
 
 def _parameters() -> tuple[np.ndarray, np.ndarray]:
@@ -124,8 +125,9 @@ class HistoryIndex:
         heads = new.groupBy("bag").agg(F.min("id").alias("head"))
         if self.batches:
             heads = heads.join(self._history("sketches").select("bag", F.col("id").alias("old_head")), "bag", "left")
+            heads = heads.join(self._history("nearest").select(F.col("id").alias("old_head"), F.col("near").alias("old_near")), "old_head", "left")
         else:
-            heads = heads.withColumn("old_head", F.lit(None).cast("long"))
+            heads = heads.withColumn("old_head", F.lit(None).cast("long")).withColumn("old_near", F.lit(None).cast("long"))
         heads = written(heads, "heads")
         fresh = new.join(heads.filter("old_head is null").select(F.col("head").alias("id")), "id", "left_semi").dropDuplicates(["id"])
         fresh.select("id", "bag", "n", "words").write.mode("overwrite").parquet(self._own("sketches"))
@@ -133,8 +135,10 @@ class HistoryIndex:
         keyed = fresh.select("id", "n", "words").mapInPandas(_bands, "key long, id long, n int").withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int"))
         keyed.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").mode("overwrite").parquet(self._own("bands"))
         near = self._near(fresh, self.spark.read.schema(BAND_ROWS).parquet(self._own("bands")))
+        near.select(F.col("id_b").alias("id"), F.col("id_a").alias("near")).write.mode("overwrite").parquet(self._own("nearest"))
+        near = self.spark.read.schema(NEAREST).parquet(self._own("nearest")).select(F.col("near").alias("id_a"), F.col("id").alias("id_b"))
         # every member takes the earliest of its class and of what its class is near to
-        linked = heads.withColumn("own", F.least(F.coalesce("old_head", "head"), "head")).join(near, heads["head"] == near["id_b"], "left")
+        linked = heads.withColumn("own", F.least(F.coalesce("old_head", "head"), "head", "old_near")).join(near, heads["head"] == near["id_b"], "left")
         first = linked.select("bag", F.least("own", F.coalesce("id_a", "own")).alias("id_a"))
         pairs = new.select("id", "bag").join(first, "bag").filter(F.col("id_a") < F.col("id")).select("id_a", F.col("id").alias("id_b")).distinct()
         pairs = written(pairs, "pairs")
@@ -146,7 +150,7 @@ class HistoryIndex:
 
     def _history(self, name: str) -> DataFrame:
         """What the batches before this one left."""
-        return self.spark.read.schema({"sketches": SKETCHES, "bands": BAND_ROWS}[name] + ", batch int").parquet(f"{self.path}/{name}").filter(F.col("batch") < self.batches)
+        return self.spark.read.schema({"sketches": SKETCHES, "bands": BAND_ROWS, "nearest": NEAREST}[name] + ", batch int").parquet(f"{self.path}/{name}").filter(F.col("batch") < self.batches)
 
     def _near(self, fresh: DataFrame, bands: DataFrame) -> DataFrame:
         """(id_a, id_b): for each fresh class the earliest near class, verified."""

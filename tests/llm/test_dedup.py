@@ -58,3 +58,15 @@ def test_nulls_empty_and_repeats(spark):
     rows = [(1, 0, None, "accept"), (2, 0, "", "accept"), (3, 0, "...", "accept"), (4, 0, "one two three", "reject"), (5, 0, "One, two three!", "accept"), (6, 1, "three one two", "accept"), (7, None, "оne two three", "accept")]
     assert pairs(D.found(spark.createDataFrame(rows, FILE))) == {(5, 6), (5, 7)}
     assert D.found(spark.createDataFrame([], FILE)).count() == 0
+
+
+def test_a_copy_of_a_near_copy_in_a_later_batch_takes_the_earliest(spark):
+    words = [f"word{i}" for i in range(40)]
+    a, x = " ".join(words), " ".join([*words[:38], "other", "words"])
+    rows = [(1, 0, a, "accept"), (2, 1, x, "accept"), (3, 2, x, "accept"), (4, 2, a, "accept")]
+    df = spark.createDataFrame(rows, FILE)
+    index, got = D.HistoryIndex(spark), set()
+    for b in range(3):
+        got |= pairs(index.add(D.accepted(df).filter(df.batch_no == b)))
+    assert got == pairs(D.found(df)) == brute(rows) == {(1, 2), (1, 3), (1, 4)}
+    assert pairs(D.last_batch(df)) == {(1, 3), (1, 4)}
