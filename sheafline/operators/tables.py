@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRID = "headers array<string>, rows array<array<string>>"
@@ -103,6 +103,15 @@ def markdown_tables(text: str) -> list[tuple[list[str], list[list[str]]]]:
     return out
 
 
+def completeness(table_html: Column) -> list[Column]:
+    """``cells``, ``filled`` and ``completeness`` of a table; a cell ends where it, its row or the table is closed or the next one begins."""
+    bodies = F.regexp_extract_all(table_html, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)(?=</?(?:t[dhr]|thead|tbody|tfoot|table)\b|\z)"), F.lit(1))
+    texts = F.transform(bodies, lambda x: F.trim(F.regexp_replace(x, r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>", "")))
+    filled, n = F.size(F.filter(texts, lambda x: x != "")), F.size(bodies)
+    share = F.when(n == 0, F.lit(0.0)).when(~table_html.rlike(r"(?i)<td\b"), F.when(filled > 0, 0.5).otherwise(0.0)).otherwise(filled / n)
+    return [n.alias("cells"), filled.alias("filled"), F.round(share, 3).alias("completeness")]
+
+
 def grids(df: DataFrame, table_html: str) -> DataFrame:
     """The other columns with headers and rows of the table in ``table_html``; null tables give no rows."""
     keep = [c for c in df.columns if c not in (table_html, "headers", "rows")]

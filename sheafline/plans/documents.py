@@ -94,11 +94,11 @@ _CELLS = "regexp_extract_all(structured_payload.table_html, '(?is)<t[dh]\\b[^>]*
       FROM (SELECT fragment_no, {_CELLS} AS c FROM fragments WHERE structured_payload.table_html IS NOT NULL)"""
 )
 def table_completeness(spark: SparkSession, root: str) -> DataFrame:
-    df = table(spark, root, "fragments").filter("structured_payload.table_html is not null")
-    cells = F.regexp_extract_all("structured_payload.table_html", F.lit(r"(?is)<t[dh]\b[^>]*>([^<]*)"), F.lit(1))
-    filled = F.size(F.filter("c", lambda x: F.trim(x) != ""))
-    n = F.size("c")
-    return df.select("fragment_no", cells.alias("c")).select("fragment_no", n.alias("cells"), filled.alias("filled"), F.round(F.when(n == 0, F.lit(0.0)).otherwise(filled / n), 3).alias("completeness"))
+    """Filled cells of all cells, the text inside a cell's inner tags counted; a table of filled header cells only is half complete.
+
+    The SQL reads a cell only up to its first inner tag and does not have the headers' case, so it differs there.
+    """
+    return table(spark, root, "fragments").filter("structured_payload.table_html is not null").select("fragment_no", *tables.completeness(F.col("structured_payload.table_html")))
 
 
 @R.query()

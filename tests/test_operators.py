@@ -117,3 +117,12 @@ def test_numbers_within_a_key(spark):
 def test_discount(spark):
     df = spark.createDataFrame([(0.8, 0.5), (0.8, 0.1), (0.8, 0.0), (0.8, None)], "c double, i double")
     assert [round(r[0], 6) for r in df.select(rules.discount(F.col("c"), F.col("i"))).collect()] == [0.8, 0.4, 0.08, 0.8]
+
+
+def test_table_completeness_reads_inner_tags_and_knows_headers_only(spark):
+    from sheafline.operators import tables
+
+    html = ["<table><tr><th>a</th><td><b>5</b></td><td> <i></i> </td><td>x<br>y</tr></table>", "<tr><th>a<th><b>b</b></tr>", "<tr><th></th></tr>", "", "<td><p>1 < 2</p>"]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(html)], "i int, h string")
+    got = [tuple(r)[1:] for r in df.select("i", *tables.completeness(df.h)).orderBy("i").collect()]
+    assert got == [(4, 3, 0.75), (2, 2, 0.5), (1, 0, 0.0), (0, 0, 0.0), (1, 1, 1.0)]
