@@ -1,4 +1,4 @@
-"""New batches against all accepted history: exact and near repeats without reading the history again.
+"""New batches against all accepted history: exact and near repeats; band keys are pruned by bucket, the folded words are read for each batch.
 
 The history lives in three written tables, one folder a batch. ``bands`` holds one row per record and band, laid out by a bucket of the band's
 key and sorted by it; ``sketches`` holds the record's folded words, ``nearest`` the earliest record that a
