@@ -48,6 +48,25 @@ class Text:
     def blank(self, start: int, end: int) -> bool:
         return end <= start or self.spaces[end] - self.spaces[start] == end - start
 
+    def furthest(self, start: int, limit: int) -> int:
+        """The last offset up to which a piece from ``start`` holds no more than ``limit``."""
+        # a token that a cut has opened counts again where the piece starts inside it
+        opened = int(self.size[-1] != self.n and self.inside(start) and self.size[start + 1] == self.size[start])
+        return int(np.searchsorted(self.size, int(self.size[start]) - opened + limit, side="right")) - 1
+
+    def step_back(self, start: int, end: int, overlap: int, limit: int) -> int:
+        """Where the piece after [start, end) begins: the first word start within ``overlap``, else as far back as it allows; ``end`` if from there nothing new would fit."""
+        if not overlap:
+            return end
+        # the last offset of that size is where the token after it starts, so no token is opened again
+        low = max(start + 1, int(np.searchsorted(self.size, int(self.size[end]) - overlap, side="right")) - 1)
+        words = self.breaks[3]
+        i = int(np.searchsorted(words, low, side="left"))
+        back = int(words[i]) if i < len(words) and words[i] < end else low
+        while back < end - 1 and unicodedata.combining(self.text[back]):
+            back += 1
+        return back if self.furthest(back, limit) > end else end
+
     def last_before(self, level: int, low: int, high: int) -> int:
         """The last boundary of a class in (low, high], or -1."""
         b = self.breaks[level]
@@ -64,10 +83,9 @@ def split(text: str, limit: int, overlap: int = 0, unit: str = "chars") -> list[
         return [(0, t.n)]
     overlap = max(0, min(overlap, limit - 1))
     out: list[tuple[int, int]] = []
-    start = 0
+    start = before = 0
     while True:
-        base = int(t.size[start]) - int(unit == "tokens" and t.inside(start) and t.size[start + 1] == t.size[start])
-        high = int(np.searchsorted(t.size, base + limit, side="right")) - 1
+        high = t.furthest(start, limit)
         if high >= t.n:
             out.append((start, t.n))
             return out
@@ -79,24 +97,14 @@ def split(text: str, limit: int, overlap: int = 0, unit: str = "chars") -> list[
         if end < 0:
             end = t.last_before(3, start, high)
         # the white space of a boundary may be cut off, but it must make progress past the last piece
-        if end <= start or out and end <= out[-1][1]:
+        if end <= max(start, before):
             end = high
             while end > start + 1 and unicodedata.combining(text[end]):
                 end -= 1
-            if end <= start + 1 or out and end <= out[-1][1]:
+            if end <= max(start + 1, before):
                 end = high
         out.append((start, end))
-        if overlap == 0:
-            start = end
-            continue
-        low = int(np.searchsorted(t.size, int(t.size[end]) - overlap, side="left")) if unit == "tokens" else end - overlap
-        low = max(low, start + 1)
-        words = t.breaks[3]
-        i = int(np.searchsorted(words, low, side="left"))
-        nxt = int(words[i]) if i < len(words) and words[i] < end else low
-        while nxt < end - 1 and unicodedata.combining(text[nxt]):
-            nxt += 1
-        start = nxt
+        start, before = t.step_back(start, end, overlap, limit), end
 
 
 def audit(text: str | None, limit: int | None, overlap: int | None, pieces: list[tuple[int, int]], unit: str = "chars") -> list[str]:

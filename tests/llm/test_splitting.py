@@ -60,3 +60,22 @@ def test_tables(spark):
     assert {r.unit_no for r in pieces} == {1} and len(pieces) == 2 * pieces[0].pieces
     assert S.split_units(units.limit(0), limits).count() == 0
     assert S.repaired(units, frags.limit(0), limits).count() == len(pieces)
+
+
+def test_a_piece_starts_with_a_whole_token():
+    assert S.split("dd.d", 2, 1, "tokens") == [(0, 3), (2, 4)]
+    assert S.split("aa bb cc dd", 2, 1, "tokens") == [(0, 6), (3, 9), (6, 11)]
+    assert S.split("ab" * 50, 1, 5, "tokens") == [(0, 100)]
+
+
+def test_repaired_units_pass_the_audit(spark, data):
+    from sheafline.session import table
+
+    units, frags, limits = (table(spark, data, n) for n in ("source_units", "fragments", "size_limits"))
+    by_unit = {}
+    for r in S.repaired(units, frags, limits).collect():
+        by_unit.setdefault(r.unit_no, []).append((r.char_start, r.char_end))
+    assert by_unit
+    rows = S.with_limits(units, limits).filter("text is not null and max_size is not null").collect()
+    bad = [r.unit_no for r in rows if r.unit_no in by_unit and S.audit(r.text, r.max_size, r.overlap, by_unit[r.unit_no], r.unit)]
+    assert not bad
