@@ -1,30 +1,36 @@
-"""New batches against all accepted history: exact and near repeats; band keys are pruned by bucket, the folded words are read for each batch.
+"""New batches against all accepted history: exact and near repeats, found by probing a persisted index.
 
-The history lives in three written tables, one folder a batch. ``bands`` holds one row per record and band, laid out by a bucket of the band's
-key and sorted by it; ``sketches`` holds the record's folded words, ``nearest`` the earliest record that a
-class was found near to, which its later exact repeats take too. A batch computes its
-own keys, reads only the buckets its keys fall into, verifies what it meets there word by word, and appends the keys of
-those of its records that repeat nothing exactly.
+Records with the same bag of folded words are one class (the order of sentences does not matter). The index keeps, in a folder that all
+executors share:
 
-A record's features are its folded words with their occurrence number, so the order of sentences does not matter. Records
-with the same bag of words are one class and stand in the index once. A band bucket that holds more than ``crowd`` classes is
-not paired off: its members go through an exact way (below), so nothing is dropped.
+* ``bands``: for each class one row a minwise band, with the band's key and the class's signature (one bit of each minimum), laid out by a hash of the key;
+* ``classes``: bag, earliest record, earliest near record, and the words, laid out by a hash of the bag;
+* ``members``: bag and record, laid out by a hash of the bag, read only when a record arrives that is earlier than those it repeats.
 
-The exact way: two bags whose distance is at most ``limit`` share at least one word among the rarest
-``n - ceil((1 - limit) n) + 1`` of each, when all rank words alike. Members of crowded buckets join on those rare words.
+Each load is a run of these three tables. A run has a number of buckets that grows with its rows; ``fan`` runs of one level are merged into one of
+the next, so the history is a few runs and each record is rewritten a logarithmic number of times. A run counts once its marker is written: what a
+failed load left is replaced by the next try, and an index opened on an existing folder goes on where the last load ended.
+
+A batch probes: its bags and band keys name the buckets, only those are read; key rows whose signatures agree too little are dropped; the words of
+the rest are read from their buckets and compared word by word. Then its own classes are appended.
+
+A key that more than ``crowd`` classes share is not paired off. Each of its classes meets the ``crowd`` earliest ones only: where one of these is near,
+the earliest near class of that key is found. A class none of them is near to takes the exact way: two bags whose distance is at most ``limit`` share
+at least one word among the rarest ``n - ceil((1 - limit) n) + 1`` of each, when all rank words alike.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +41,17 @@ BANDS, ROWS = 28, 7
 #: At most one word in ten differs in a repeat, more than one in four between others; the limit stands between them.
 LIMIT = 0.15
 CROWD = 40
-BUCKETS = 64
-SKETCHES, BAND_ROWS, NEAREST = "id long, bag string, n int, words string", "key long, id long, n int, bucket int", "id long, near long"
+#: Rows of one bucket of a run, how many runs of a level are merged, and how many buckets a filter names at most.
+BUCKET_ROWS, FAN, MOST_NAMED = 1 << 20, 8, 2_000
+#: The signatures' bits that agree: (1 + J) / 2 of them on average. At the limit J is 0.74, six standard deviations below that is 0.72.
+LEAST_AGREE = 0.72
+SMALL = 8 << 20
+
+SCHEMAS = {
+    "bands": "key long, bag binary, head long, n int, signature array<long>, bucket int",
+    "classes": "bag binary, head long, near long, n int, words string, bucket int",
+    "members": "bag binary, id long, bucket int",
+}
 
 
 def _parameters() -> tuple[np.ndarray, np.ndarray]:
@@ -45,50 +60,51 @@ def _parameters() -> tuple[np.ndarray, np.ndarray]:
     return a, rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 
 
-@lru_cache(1_000_000)
-def _word_hash(word: str, nth: int) -> int:
-    return xxhash.xxh64_intdigest(word, seed=nth)
+def features(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all texts' words with their occurrence number, start of each text); every word is hashed once."""
+    sizes = np.fromiter((len(w) for w in texts), dtype=np.int64, count=len(texts))
+    words = pd.Series([w for ws in texts for w in ws], dtype=object)
+    codes, names = pd.factorize(words)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in names), dtype=np.uint64, count=len(names))
+    nth = pd.DataFrame({"text": np.repeat(np.arange(len(texts)), sizes), "word": codes}).groupby(["text", "word"], sort=False).cumcount().to_numpy(dtype=np.uint64)
+    flat = hashes[codes] + nth * np.uint64(0xD6E8FEB86659FD93)
+    flat ^= flat >> np.uint64(32)
+    return flat * np.uint64(0xD6E8FEB86659FD93), np.cumsum(sizes) - sizes
 
 
-def features(words: list[str]) -> list[int]:
-    seen: Counter[str] = Counter()
-    out = []
-    for w in words:
-        out.append(_word_hash(w, seen[w]))
-        seen[w] += 1
-    return out
-
-
-def band_keys(feature_lists: list[list[int]]) -> np.ndarray:
-    """For each record BANDS 64-bit keys; records must have features."""
+def band_keys(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """For each text BANDS 64-bit keys, and its signature: one bit of each minimum, as four numbers. Texts must have words."""
     a, b = _parameters()
-    flat = np.fromiter((f for fs in feature_lists for f in fs), dtype=np.uint64)
-    starts = np.cumsum([0] + [len(f) for f in feature_lists[:-1]])
-    keys = np.empty((len(feature_lists), BANDS), dtype=np.uint64)
+    flat, starts = features(texts)
+    shifted = flat >> np.uint64(29)
+    keys = np.empty((len(texts), BANDS), dtype=np.uint64)
+    bits = np.zeros((len(texts), 256), dtype=np.uint8)
     mix = np.uint64(0x9E3779B97F4A7C15)
     for band in range(BANDS):
-        key = np.full(len(feature_lists), np.uint64(band + 1), dtype=np.uint64)
+        key = np.full(len(texts), np.uint64(band + 1), dtype=np.uint64)
         for r in range(band * ROWS, (band + 1) * ROWS):
-            low = np.minimum.reduceat((flat * a[r] + b[r]) ^ (flat >> np.uint64(29)) * a[r], starts)
+            low = np.minimum.reduceat((flat * a[r] + b[r]) ^ shifted * a[r], starts)
             key = (key ^ low) * mix
             key ^= key >> np.uint64(31)
+            bits[:, r] = (low * mix) >> np.uint64(63)
         keys[:, band] = key
-    return keys.view(np.int64)
+    return keys.view(np.int64), np.packbits(bits, axis=1).view(np.int64)
 
 
 def _prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        words = [fold_words(t) for t in pdf["text"]]
-        yield pd.DataFrame({"id": pdf["id"], "bag": [xxhash.xxh128_hexdigest(" ".join(sorted(w))) for w in words], "n": [len(w) for w in words], "words": [" ".join(w) for w in words]})
+        words = [sorted(fold_words(t)) for t in pdf["text"]]
+        joined = [" ".join(w) for w in words]
+        yield pd.DataFrame({"id": pdf["id"], "bag": [xxhash.xxh128_digest(j) for j in joined], "n": [len(w) for w in words], "words": joined})
 
 
 def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        pdf = pdf[pdf["n"] > 0]
         for at in range(0, len(pdf), 512):
             part = pdf.iloc[at : at + 512]
-            keys = band_keys([features(w.split(" ")) for w in part["words"]])
-            yield pd.DataFrame({"key": keys.ravel(), "id": np.repeat(part["id"].to_numpy(), BANDS), "n": np.repeat(part["n"].to_numpy(), BANDS)})
+            keys, signatures = band_keys([w.split(" ") for w in part["words"]])
+            rows = np.repeat(np.arange(len(part)), BANDS)
+            yield pd.DataFrame({"key": keys.ravel(), "bag": part["bag"].to_numpy()[rows], "head": part["head"].to_numpy()[rows], "n": part["n"].to_numpy()[rows], "signature": list(signatures[rows])})
 
 
 def bag_distance(a: str, b: str) -> float:
@@ -103,104 +119,251 @@ def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([bag_distance(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-class HistoryIndex:
-    """Band keys and folded words of all accepted records, in a folder all executors share."""
+def _agree(a: str, b: str) -> Column:
+    """The share of signature bits that agree."""
+    differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(4)), F.lit(0))
+    return 1 - differ / F.lit(BANDS * ROWS)
+
+
+def _bucket(column: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+
+
+def small(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if the written table it is made from is small."""
+    return F.broadcast(df) if table_bytes(df if source is None else source) < SMALL else df
+
 
-    def __init__(self, spark: SparkSession, path: str | None = None, limit: float = LIMIT, crowd: int = CROWD):
-        self.spark, self.limit, self.crowd = spark, limit, crowd
-        self.path = path or f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
-        self.batches = 0
+class HistoryIndex:
+    """The persisted history: loads are added, each is told apart from all before it."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None, limit: float = LIMIT, crowd: int = CROWD, bucket_rows: int = BUCKET_ROWS, fan: int = FAN):
+        """Opens the index in ``path`` (a new folder under the shared one if none is given) with all loads that ended there."""
+        self.spark, self.limit, self.crowd, self.bucket_rows, self.fan = spark, limit, crowd, bucket_rows, fan
+        self.path = (path or f"{shared_dir(spark)}/history-{uuid.uuid4().hex}").rstrip("/")
+        self.runs: dict[str, dict] = {}
+        self.loads = 0
+        for name in self._markers():
+            run = json.loads(spark.read.text(f"{self.path}/runs/{name}").first()[0])
+            self.runs[name] = run
+            self.loads = max(self.loads, run["last"] + 1)
+        for name in [n for n, r in self.runs.items() if any(o["first"] <= r["first"] and r["last"] <= o["last"] and o["level"] > r["level"] for o in self.runs.values())]:
+            del self.runs[name]  # merged, and not yet cleared
+
+    # ------------------------------------------------------------ files
+
+    def _folder(self, name: str):
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _markers(self) -> list[str]:
+        fs, path = self._folder("runs")
+        return [n for s in fs.listStatus(path) if not (n := s.getPath().getName()).endswith(".new")] if fs.exists(path) else []
+
+    def _mark(self, name: str, run: dict) -> None:
+        self.spark.createDataFrame([(json.dumps(run),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/runs/{name}.new")
+        fs, new = self._folder(f"runs/{name}.new")
+        fs.rename(new, self._folder(f"runs/{name}")[1])
+        self.runs[name] = run
+
+    def _drop(self, name: str) -> None:
+        for part in (f"runs/{name}", *(f"{t}/{name}" for t in SCHEMAS)):
+            fs, path = self._folder(part)
+            fs.delete(path, True)
+        self.runs.pop(name, None)
+
+    def _write(self, table: str, name: str, df: DataFrame, buckets: int, by: str) -> None:
+        # a bucket's rows meet in one task: it holds about ``bucket_rows``
+        laid = df.withColumn("bucket", _bucket(by, buckets)).repartition(min(buckets, 2000), "bucket") if buckets > 1 else df.withColumn("bucket", F.lit(0))
+        laid.sortWithinPartitions("bucket", by).write.partitionBy("bucket").mode("overwrite").parquet(f"{self.path}/{table}/{name}")
+
+    def _read(self, table: str, name: str, keys: DataFrame | None = None, by: str = "") -> DataFrame:
+        """A run's table; with ``keys`` (a written table holding the column ``by``) only the rows with one of those keys, from the buckets that these fall into."""
+        df = self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.path}/{table}/{name}")
+        if keys is None:
+            return df.drop("bucket")
+        buckets = self.runs[name][table]
+        mine = keys.select(by)
+        if buckets > 1:
+            hit = [r[0] for r in mine.select(_bucket(by, buckets).alias("b")).distinct().limit(MOST_NAMED + 1).collect()]
+            if len(hit) <= MOST_NAMED:  # a filter on the folders; with more, nearly every bucket is hit
+                df = df.filter(F.col("bucket").isin(hit))
+        return df.join(small(mine.distinct(), keys), by, "left_semi").drop("bucket")
+
+    def _history(self, table: str, keys: DataFrame, by: str) -> DataFrame:
+        """The rows of all runs that have one of the keys."""
+        if not self.runs:
+            return self.spark.createDataFrame([], SCHEMAS[table]).drop("bucket")
+        return reduce(DataFrame.unionByName, [self._read(table, name, keys, by) for name in sorted(self.runs)])
+
+    def _merge(self) -> None:
+        """Runs of one level become one of the next as soon as there are ``fan`` of them."""
+        while True:
+            levels = Counter(r["level"] for r in self.runs.values())
+            full = [lv for lv, k in levels.items() if k >= self.fan]
+            if not full:
+                return
+            level = min(full)
+            names = sorted((n for n, r in self.runs.items() if r["level"] == level), key=lambda n: self.runs[n]["first"])
+            rows = {t: sum(self.runs[n][f"{t}_rows"] for n in names) for t in SCHEMAS}
+            run = {"level": level + 1, "first": self.runs[names[0]]["first"], "last": self.runs[names[-1]]["last"], **self._sizes(rows)}
+            name = f"r{run['first']:08d}-{run['last']:08d}-{level + 1}"
+            for t, by in (("bands", "key"), ("classes", "bag"), ("members", "bag")):
+                df = reduce(DataFrame.unionByName, [self._read(t, n) for n in names])
+                self._write(t, name, _newest_state(df) if t == "classes" else df, run[t], by)
+            self._mark(name, run)
+            for n in names:
+                self._drop(n)
+
+    def _sizes(self, rows: dict[str, int]) -> dict[str, int]:
+        return {**{t: 1 << max(0, -(-n // self.bucket_rows) - 1).bit_length() for t, n in rows.items()}, **{f"{t}_rows": n for t, n in rows.items()}}
+
+    # ------------------------------------------------------------ loads
 
     def add(self, batch: DataFrame, id_col: str = "file_no", text: str = "text_sample") -> DataFrame:
-        """(id_a, id_b): each record of the batch with the earliest record, here or in the history, that it repeats; then
+        """(id_a, id_b): each record of the batch with the earliest record (smallest id), here or in the history, that it repeats; then
         the batch is part of the history.
 
-        Records with a null or wordless text are neither compared nor kept. Ids must be unique and grow with arrival; an
-        id given twice counts once. An empty batch gives no rows. The batch's keys are written once, into the history's own layout under the
-        batch's number; a batch that is tried again after a failure replaces what the failed try left.
+        If a record arrives that is earlier by its id than records of the history that repeat it, these come out again with the new
+        earliest one; the smallest ``id_a`` of an ``id_b`` over all loads is what a single load of everything gives. Records with a null or wordless text and those
+        without an id are neither compared nor kept. An id given twice with one text counts once. An empty batch gives no rows.
         """
         ids = batch.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).filter(F.col("text").isNotNull() & F.col("id").isNotNull())
-        new = written(ids.mapInPandas(_prepare, "id long, bag string, n int, words string").filter("n > 0"), "batch")
-        # classes of equal bags: the earliest stands for all
+        new = written(ids.mapInPandas(_prepare, "id long, bag binary, n int, words string").filter("n > 0"), "batch")
+        members = written(new.select("bag", "id").distinct(), "batch-members")
         heads = new.groupBy("bag").agg(F.min("id").alias("head"))
-        if self.batches:
-            heads = heads.join(self._history("sketches").select("bag", F.col("id").alias("old_head")), "bag", "left")
-            heads = heads.join(self._history("nearest").select(F.col("id").alias("old_head"), F.col("near").alias("old_near")), "old_head", "left")
-        else:
-            heads = heads.withColumn("old_head", F.lit(None).cast("long")).withColumn("old_near", F.lit(None).cast("long"))
-        heads = written(heads, "heads")
-        fresh = new.join(heads.filter("old_head is null").select(F.col("head").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-        fresh.select("id", "bag", "n", "words").write.mode("overwrite").parquet(self._own("sketches"))
-        fresh = self.spark.read.schema(SKETCHES).parquet(self._own("sketches"))
-        keyed = fresh.select("id", "n", "words").mapInPandas(_bands, "key long, id long, n int").withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int"))
-        keyed.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").mode("overwrite").parquet(self._own("bands"))
-        near = self._near(fresh, self.spark.read.schema(BAND_ROWS).parquet(self._own("bands")))
-        near.select(F.col("id_b").alias("id"), F.col("id_a").alias("near")).write.mode("overwrite").parquet(self._own("nearest"))
-        near = self.spark.read.schema(NEAREST).parquet(self._own("nearest")).select(F.col("near").alias("id_a"), F.col("id").alias("id_b"))
-        # every member takes the earliest of its class and of what its class is near to
-        linked = heads.withColumn("own", F.least(F.coalesce("old_head", "head"), "head", "old_near")).join(near, heads["head"] == near["id_b"], "left")
-        first = linked.select("bag", F.least("own", F.coalesce("id_a", "own")).alias("id_a"))
-        pairs = new.select("id", "bag").join(first, "bag").filter(F.col("id_a") < F.col("id")).select("id_a", F.col("id").alias("id_b")).distinct()
-        pairs = written(pairs, "pairs")
-        self.batches += 1
+        old = _newest_state(self._history("classes", members, "bag").select("bag", "head", "near", F.lit(None).cast("int").alias("n"), F.lit(None).cast("string").alias("words")))
+        heads = written(heads.join(old.select("bag", F.col("head").alias("old_head"), F.col("near").alias("old_near")), "bag", "left"), "heads")
+        # classes that the history does not know, or knows with a later record only
+        active = heads.filter("old_head is null or head < old_head").select("bag", "head")
+        active = written(new.join(active.withColumnRenamed("head", "id"), ["bag", "id"]).dropDuplicates(["bag"]).withColumnRenamed("id", "head"), "active")
+        bands = written(active.mapInPandas(_bands, "key long, bag binary, head long, n int, signature array<long>"), "bands")
+        near = written(self._near(active, bands), "near")
+        # of each class: the earliest record of its own, and of the classes that it is near to
+        null = F.lit(None).cast("long")
+        state = heads.select("bag", F.least("head", "old_head").alias("head"), "old_head", "old_near", null.alias("new_near"), F.lit(True).alias("here"))
+        state = state.unionByName(near.select("bag", null.alias("head"), null.alias("old_head"), null.alias("old_near"), F.col("near").alias("new_near"), F.lit(False).alias("here")))
+        state = state.groupBy("bag").agg(*[F.min(c).alias(c) for c in ("head", "old_head", "old_near", "new_near")], F.max("here").alias("here"))
+        state = written(state.withColumn("near", F.least("old_near", "new_near")), "state")
+        first = F.least("head", "near")
+        pairs = members.join(state.filter("here").select("bag", first.alias("id_a")), "bag")
+        # classes of the history that may have an earlier original now
+        changed = written(state.filter("not here or head < old_head or old_head is not null and new_near is not null").select("bag", first.alias("id_a")), "changed")
+        if self.runs and not changed.isEmpty():
+            before = _newest_state(self._history("classes", changed, "bag").select("bag", "head", "near", F.lit(None).cast("int").alias("n"), F.lit(None).cast("string").alias("words")))
+            earlier = written(changed.join(before.select("bag", F.least("head", "near").alias("before")), "bag").filter("id_a < before").select("bag", "id_a"), "earlier")
+            pairs = pairs.unionByName(self._history("members", earlier, "bag").join(earlier, "bag").select("bag", "id", "id_a"))
+        pairs = written(pairs.filter("id_a < id").select("id_a", F.col("id").alias("id_b")).distinct(), "pairs")
+
+        # appended: new classes, and what has changed of known ones
+        classes = state.filter("here and old_head is null or head < old_head or new_near is not null").join(active.select("bag", "n", "words"), "bag", "left")
+        classes = classes.select("bag", "head", "near", "n", F.when(F.col("old_head").isNull() & F.col("here"), F.col("words")).alias("words"))
+        name = f"r{self.loads:08d}-{self.loads:08d}-0"
+        counts = {"bands": bands.count(), "classes": heads.count(), "members": members.count()}
+        run = {"level": 0, "first": self.loads, "last": self.loads, **self._sizes(counts)}
+        self._write("bands", name, bands, run["bands"], "key")
+        self._write("classes", name, classes, run["classes"], "bag")
+        self._write("members", name, members, run["members"], "bag")
+        self._mark(name, run)
+        self.loads += 1
+        self._merge()
         return pairs
 
-    def _own(self, name: str) -> str:
-        return f"{self.path}/{name}/batch={self.batches}"
-
-    def _history(self, name: str) -> DataFrame:
-        """What the batches before this one left."""
-        return self.spark.read.schema({"sketches": SKETCHES, "bands": BAND_ROWS, "nearest": NEAREST}[name] + ", batch int").parquet(f"{self.path}/{name}").filter(F.col("batch") < self.batches)
-
-    def _near(self, fresh: DataFrame, bands: DataFrame) -> DataFrame:
-        """(id_a, id_b): for each fresh class the earliest near class, verified."""
-        everything, words = bands.withColumn("fresh", F.lit(True)), fresh.select("id", "n", "words")
-        if self.batches:
-            hit = [r[0] for r in bands.select("bucket").distinct().collect()]  # at most BUCKETS numbers
-            history = self._history("bands").filter(F.col("bucket").isin(hit))
-            mine = bands.select("key").distinct()
-            history = history.join(F.broadcast(mine) if table_bytes(mine) < 8 << 20 else mine, "key", "left_semi")
-            everything = everything.unionByName(history.withColumn("fresh", F.lit(False)), allowMissingColumns=True)
-            words = words.unionByName(self._history("sketches").select("id", "n", "words"))
-        everything = everything.select("key", "id", "n", "fresh")
-        # keys that meet: counted with a combine before the shuffle, then their rows once
-        sizes = everything.groupBy("key").agg(F.count("*").alias("members"), F.max("fresh").alias("any_new")).filter("members > 1 and any_new").select("key", "members")
-        met = written(everything.join(sizes, "key"), "met")
+    def _near(self, active: DataFrame, bands: DataFrame) -> DataFrame:
+        """(bag, near): active classes with the earliest class near to them, and classes of the history with an active one that is near and earlier."""
+        rows = bands.withColumn("active", F.lit(True))
+        if self.runs:
+            rows = rows.unionByName(self._history("bands", bands, "key").withColumn("active", F.lit(False)))
+        # keys that meet, counted with a combine before the shuffle
+        sizes = rows.groupBy("key").agg(F.count("*").alias("members"), F.max("active").alias("any_active")).filter("members > 1 and any_active").select("key", "members")
+        met = written(rows.join(sizes, "key"), "met")
+        words = active.select("bag", "n", "words")
+        if self.runs:
+            others = written(met.filter("not active").select("bag").distinct().join(active.select("bag"), "bag", "left_anti"), "met-bags")
+            words = words.unionByName(self._history("classes", others, "bag").filter("words is not null").select("bag", "n", "words"))
+        crowded = met.filter(F.col("members") > self.crowd)
+        early = Window.partitionBy("key").orderBy("head", "bag")
+        # the rank filter becomes a limit in each task before the rows of a key meet
+        pivots = crowded.withColumn("r", F.row_number().over(early)).filter(F.col("r") <= self.crowd).drop("r")
         few = met.filter(F.col("members") <= self.crowd)
-        b, a = few.filter("fresh").alias("b"), few.alias("a")
-        fits = F.least("a.n", "b.n") >= (1 - self.limit) * F.greatest("a.n", "b.n")
-        candidates = b.join(a, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & fits).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
-        crowded = met.filter(F.col("members") > self.crowd).groupBy("id").agg(F.max("fresh").alias("fresh"))
-        candidates = written(candidates.unionByName(self._rare_pairs(crowded, words)).distinct(), "candidates")
+        tried = written(self._candidates(few, few).unionByName(self._candidates(crowded, pivots)).distinct(), "candidates")
+        near = written(self._verified(tried, words), "verified")
+        # classes of crowded keys that no pivot of the key is near to
+        late = crowded.groupBy("key").agg(F.min(F.when(F.col("active"), F.col("head"))).alias("from"))
+        solved = crowded.select("key", "bag").join(near.select(F.col("bag_b").alias("bag"), F.col("bag_a")), "bag").join(pivots.select("key", F.col("bag").alias("bag_a")), ["key", "bag_a"]).select("key", "bag").distinct()
+        left = crowded.join(late, "key").filter(F.col("active") | (F.col("head") > F.col("from"))).join(pivots.select("key", "bag"), ["key", "bag"], "left_anti").join(solved, ["key", "bag"], "left_anti")
+        left = written(left.select("bag").distinct(), "unsolved")
+        if not left.isEmpty():
+            everyone = crowded.groupBy("bag").agg(F.min("head").alias("head"), F.max("active").alias("active"), F.min("n").alias("n"))
+            more = written(self._rare_pairs(everyone, words.select("bag", "words"), left), "rare-candidates")
+            near = near.unionByName(self._verified(more, words))
+        return near.groupBy(F.col("bag_b").alias("bag")).agg(F.min("head_a").alias("near"))
+
+    def _fits(self) -> Column:
+        return F.least("a.n", "b.n") >= (1 - self.limit) * F.greatest("a.n", "b.n")
+
+    def _candidates(self, rows: DataFrame, earlier: DataFrame) -> DataFrame:
+        """(bag_a, head_a, bag_b) of classes that share a key, one of them active, whose lengths and signatures do not speak against it."""
+        a, b = earlier.alias("a"), rows.alias("b")
+        on = (F.col("a.key") == F.col("b.key")) & (F.col("a.head") < F.col("b.head")) & (F.col("a.bag") != F.col("b.bag")) & (F.col("a.active") | F.col("b.active")) & self._fits()
+        return b.join(a, on).filter(_agree("a.signature", "b.signature") >= LEAST_AGREE).select(F.col("a.bag").alias("bag_a"), F.col("a.head").alias("head_a"), F.col("b.bag").alias("bag_b"))
+
+    def _verified(self, candidates: DataFrame, words: DataFrame) -> DataFrame:
         # only the texts of candidates move
-        wanted = candidates.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
-        texts = words.select("id", "words").join(F.broadcast(wanted) if table_bytes(candidates) < 8 << 20 else wanted, "id", "left_semi")
-        paired = candidates.join(texts.select(F.col("id").alias("id_b"), F.col("words").alias("wb")), "id_b").join(texts.select(F.col("id").alias("id_a"), F.col("words").alias("wa")), "id_a")
-        near = paired.withColumn("distance", _distance("wa", "wb")).filter(F.col("distance") <= self.limit)
-        return near.groupBy("id_b").agg(F.min("id_a").alias("id_a"))
-
-    def _rare_pairs(self, crowded: DataFrame, words: DataFrame) -> DataFrame:
-        """The exact way for members of crowded buckets: a join on each text's rarest words."""
-        texts = words.join(crowded, "id")
-        terms = texts.select("id", "n", "fresh", F.explode(F.split("words", " ")).alias("w")).groupBy("id", "n", "fresh", "w").agg(F.count("*").alias("k"))
-        terms = terms.select("id", "n", "fresh", F.explode(F.sequence(F.lit(1).cast("long"), "k")).alias("nth"), "w").withColumn("t", F.xxhash64("w", "nth"))
+        wanted = candidates.select(F.explode(F.array("bag_a", "bag_b")).alias("bag")).distinct()
+        texts = words.select("bag", "words").join(small(wanted, candidates), "bag", "left_semi")
+        paired = candidates.join(texts.select(F.col("bag").alias("bag_b"), F.col("words").alias("wb")), "bag_b").join(texts.select(F.col("bag").alias("bag_a"), F.col("words").alias("wa")), "bag_a")
+        return paired.filter(_distance("wa", "wb") <= self.limit).select("bag_a", "head_a", "bag_b")
+
+    def _rare_pairs(self, crowded: DataFrame, words: DataFrame, unsolved: DataFrame) -> DataFrame:
+        """The exact way: unsolved classes and earlier ones of crowded keys that share one of the rarest words of both."""
+        texts = crowded.join(words, "bag")
+        terms = texts.select("bag", "head", "n", "active", F.explode(F.split("words", " ")).alias("w")).groupBy("bag", "head", "n", "active", "w").agg(F.count("*").alias("k"))
+        terms = terms.select("bag", "head", "n", "active", F.explode(F.sequence(F.lit(1).cast("long"), "k")).alias("nth"), "w").withColumn("t", F.xxhash64("w", "nth"))
         frequency = terms.groupBy("t").agg(F.count("*").alias("df"))
-        ranked = terms.select("id", "n", "fresh", "t").join(frequency, "t")
-        place = F.row_number().over(Window.partitionBy("id").orderBy("df", "t"))
-        rare = ranked.withColumn("place", place).filter(F.col("place") <= F.col("n") - F.ceil((1 - self.limit) * F.col("n")) + 1).filter("df > 1")
-        b, a = rare.filter("fresh").alias("b"), rare.alias("a")
-        fits = F.least("a.n", "b.n") >= (1 - self.limit) * F.greatest("a.n", "b.n")
-        return b.join(a, (F.col("a.t") == F.col("b.t")) & (F.col("a.id") < F.col("b.id")) & fits).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+        place = F.row_number().over(Window.partitionBy("bag").orderBy("df", "t"))
+        ranked = terms.select("bag", "head", "n", "active", "t").join(frequency, "t").withColumn("place", place)
+        rare = ranked.filter(F.col("place") <= F.col("n") - F.ceil((1 - self.limit) * F.col("n")) + 1).filter("df > 1")
+        a, b = rare.alias("a"), rare.join(unsolved, "bag", "left_semi").alias("b")
+        on = (F.col("a.t") == F.col("b.t")) & (F.col("a.head") < F.col("b.head")) & (F.col("a.bag") != F.col("b.bag")) & (F.col("a.active") | F.col("b.active")) & self._fits()
+        return b.join(a, on).select(F.col("a.bag").alias("bag_a"), F.col("a.head").alias("head_a"), F.col("b.bag").alias("bag_b")).distinct()
+
+
+def _newest_state(classes: DataFrame) -> DataFrame:
+    """One row a class: the earliest record and near record of all its rows, and the words of the row that has them."""
+    return classes.groupBy("bag").agg(F.min("head").alias("head"), F.min("near").alias("near"), F.max("n").alias("n"), F.max("words").alias("words"))
 
 
 def accepted(files: DataFrame) -> DataFrame:
     return files.filter("outcome = 'accept' and text_sample is not null").select("file_no", "batch_no", "text_sample")
 
 
+def loads_of(files: DataFrame, loads: int) -> list[Column]:
+    """Filters that cut the batches, in their order, into at most ``loads`` loads of about equally many rows, each of whole batches; those without a number come first."""
+    at = [k / loads for k in range(1, loads)] + [1.0]
+    cuts = sorted(set(files.agg(F.percentile_approx("batch_no", at, 10_000)).first()[0] or ()))
+    if not cuts:
+        return [F.lit(True)]
+    b = F.col("batch_no")
+    return [b.isNull() | (b <= cuts[0]), *[(b > low) & (b <= high) for low, high in zip(cuts, cuts[1:], strict=False)]]
+
+
+def ingested(files: DataFrame, loads: int, **parameters) -> DataFrame:
+    """(id_a, id_b) after the accepted files have gone into an empty index in ``loads`` loads of consecutive batches, each probing what came before."""
+    index = HistoryIndex(files.sparkSession, **parameters)
+    own = accepted(files)
+    pairs = reduce(DataFrame.unionByName, [index.add(own.filter(c)) for c in loads_of(own, loads)])
+    return pairs.groupBy("id_b").agg(F.min("id_a").alias("id_a"))
+
+
+#: Loads that the query makes of the batches: the first fills the history, the others probe it.
+LOADS = 4
+
+
 def found(files: DataFrame) -> DataFrame:
-    """(file_no_a, file_no_b): all accepted files, loaded as the first batch of an empty history."""
-    index = HistoryIndex(files.sparkSession)
-    return index.add(accepted(files)).select(F.col("id_a").alias("file_no_a"), F.col("id_b").alias("file_no_b"))
+    """(file_no_a, file_no_b): the accepted files go into the index in ``LOADS`` loads of consecutive batches."""
+    return ingested(files, LOADS).select(F.col("id_a").alias("file_no_a"), F.col("id_b").alias("file_no_b"))
 
 
 def last_batch(files: DataFrame) -> DataFrame:
