@@ -3,12 +3,13 @@
 A text is read into a tree of blocks. HTML containers are scored as follows: every paragraph passes
 points for its length and commas to its parent and, halved, to its grandparent; a container's score
 is discounted by its link density. The best container is kept together with those siblings that
-score well or hold prose of their own. Markdown, wiki and LaTeX have a flat block structure: their
+score well or hold prose of their own; of the containers above it, headings, prose, lists, code and tables stay unless links make
+up most of them. Markdown, wiki and LaTeX have a flat block structure: their
 blocks stand under one container, so the same selection keeps all of them.
 
-Residue is what the reader had to take away to reach the clean text. Each construct is owned by one
+A grammar proposes the languages of a text; residue is what the reader then took away to reach the clean text. Each construct is owned by one
 language; constructs that several languages share (tags, LaTeX formulas, plain lists) go to the
-language that the text is written in.
+language that the text is written in. Nested constructs are read with a stack, so any depth is opened, in linear time.
 """
 
 from __future__ import annotations
@@ -93,8 +94,10 @@ TAG = Forward(re.compile(r"<!--.*?-->|</?([A-Za-z][A-Za-z0-9]*)((?:\s+[^<>]*?)?)
 ENTITY = re.compile(r"&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 SUSPECT = r"""[<>&\\$`~\[{|*_#=+]|''|-{3,}"""
 
+SUSPECTED = re.compile(SUSPECT)
+
 MATH = Forward(re.compile(r"\$\$[^$]+\$\$|\$[^$\n]+\$|\\\(.+?\\\)|\\\[.+?\\\]|\\begin\{(equation|align|displaymath|math|gather|array|cases|matrix|pmatrix)\*?\}.*?\\end\{\1\*?\}|<math>.*?</math>", re.S), r"\$|\\[(\[]|\\begin\{(equation|align|displaymath|math|gather|array|cases|matrix|pmatrix)\*?\}|<math>", _math_end, 20000)
-LATEX_CODE = re.compile(r"\\begin\{(verbatim|lstlisting|minted)\*?\}(?:\{[^}\n]*\}|\[[^\]\n]*\])*(.*?)\\end\{\1\*?\}|\\(?:verb|lstinline)\*?([|!+/])(.*?)\3", re.S)
+LATEX_CODE = Forward(re.compile(r"\\begin\{(verbatim|lstlisting|minted)\*?\}(?:\{[^}\n]*\}|\[[^\]\n]*\])*(.*?)\\end\{\1\*?\}|\\(?:verb|lstinline)\*?([|!+/])(.*?)\3", re.S), r"\\begin\{(verbatim|lstlisting|minted)\*?\}|\\(?:verb|lstinline)\*?([|!+/])", lambda o: (rf"\\end\{{{o[1]}\*?\}}", o.end()) if o[1] else (re.escape(o[2]), o.end()), 20000)
 LATEX_CMD = re.compile(
     r"(?<![\\\w:])\\(?:(?:text|math)(?:bf|it|rm|sf|tt|sc|sl|up|md|normal)|emph|uline|underline|sout|mbox|hbox|fbox|makebox|(?:sub)*section\*?|chapter\*?|part\*?|(?:sub)?paragraph\*?|title|author|date|caption|"
     r"label|ref|eqref|pageref|cite[a-z]*|footnote|footnotemark|footnotetext|href|url|textcolor|color|colorbox|begin|end|item|maketitle|tableofcontents|documentclass|usepackage|newcommand|renewcommand|"
@@ -112,7 +115,12 @@ WIKI_LINK = re.compile(r"\[\[(?:[^\[\]\n|]+)(?:\|[^\[\]\n]*)*\]\]")
 WIKI_TEMPLATE = re.compile(r"\{\{[^{}]*\}\}", re.S)
 WIKI_QUOTE = Forward(re.compile(r"(?<!')('{2,6})(?=[^\s'])([^\n]*?[^\s'])\1(?!')"), r"(?<!')'{2,6}(?=[^\s'])", lambda o: (rf"(?<=[^\s'])'{{{len(o[0])}}}(?!')", o.end() + 1), 2000, line=True)
 WIKI_HEAD = re.compile(r"(?m)^[ \t]*(={1,6})[ \t]*([^=\n][^\n]*?[^=\s]|[^=\s])[ \t]*\1[ \t]*$")
-WIKI_TABLE = re.compile(r"(?ms)^[ \t]*\{\|.*?^[ \t]*\|\}")
+WIKI_TABLE = Forward(re.compile(r"(?ms)^[ \t]*\{\|.*?^[ \t]*\|\}"), r"(?m)^[ \t]*\{\|", lambda o: (r"(?m)^[ \t]*\|\}", o.end()), 20000)
+WIKI_REF = Forward(re.compile(r"(?is)<ref\b[^>/]*/>|<ref\b[^>]*>.*?</ref>|</?nowiki\s*/?>|<references\s*/?>"), r"(?i)<ref\b[^>]*>|</?nowiki|<references", lambda o: ("(?i)</ref>", o.end()) if o[0][:4].lower() == "<ref" and o[0][4:5].lower() != "e" and o[0][-2:] != "/>" else None, 20000)
+CODE_TAG = Forward(re.compile(r"(?is)<(syntaxhighlight|source|pre|code)\b[^>]*>(.*?)</\1>"), r"(?i)<(syntaxhighlight|source|pre|code)\b[^>]*>", lambda o: (rf"(?i)</{o[1]}>", o.end()), 20000)
+MATH_TAG = Forward(re.compile(r"(?is)<math>(.*?)</math>"), r"(?i)<math>", lambda o: ("(?i)</math>", o.end()), 20000)
+SCRIPT = Forward(re.compile(r"(?is)<(script|style)\b.*?</\1>"), r"(?i)<(script|style)\b", lambda o: (rf"(?i)</{o[1]}>", o.end()), 20000)
+TABULAR = Forward(re.compile(r"\\begin\{tabular\}\{[^}\n]*\}(.*?)\\end\{tabular\}", re.S), r"\\begin\{tabular\}\{[^}\n]*\}", lambda o: (r"\\end\{tabular\}", o.end()), 20000)
 WIKI_EXTLINK = re.compile(r"(?<!\[)\[(?:https?|ftp)://[^\s\]]+(?:\s[^\]\n]*)?\](?!\()")
 WIKI_MISC = re.compile(r"__(?:TOC|NOTOC|NOEDITSECTION|FORCETOC)__|~{3,5}(?=\s|$)")
 
@@ -165,6 +173,12 @@ def html_tree(text: str) -> Node:
     """A forgiving reader: unclosed cells, rows, items and paragraphs are closed by their successors."""
     root = node = Node("body")
     at = 0
+    opened: Counter[str] = Counter()
+
+    def leave(n: Node) -> Node:
+        opened[n.role] -= 1
+        return n.parent or root
+
     closes = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}}
     for m in TAG.finditer(text):
         name = (m[1] or "").lower()
@@ -176,23 +190,23 @@ def html_tree(text: str) -> Node:
         if not name:
             continue
         if m[0][1] == "/":
-            up = node
-            while up is not None and up.role != name:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+            if opened[name] > 0:
+                while node.role != name:
+                    node = leave(node)
+                node = leave(node)
             continue
         if name in BLOCK_TAGS and node.role == "p" and name != "p":
-            node = node.parent or root
+            node = leave(node)
         for _ in range(3):
             if node.role in closes.get(name, ()) and node.parent is not None:
-                node = node.parent
+                node = leave(node)
         if name == "br":
             Node("#", node, "\n")
             continue
         new = Node(name, node, "", int(name[1]) if re.fullmatch("h[1-6]", name) else 0)
         if name not in VOID_TAGS and not m[0].endswith("/>"):
             node = new
+            opened[name] += 1
     if at < len(text):
         Node("#", node, text[at:])
     return root
@@ -222,31 +236,33 @@ def score_tree(root: Node) -> Node:
     return best
 
 
+HEADS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+
+
+def worthy(n: Node, bar: float, beside: bool) -> bool:
+    """Whether a sibling of the best container (``beside``), or of a container around it, stays."""
+    if n.role in HEADS or n.role == "#":
+        return True
+    if n.role in ("ul", "ol", "dl", "pre", "math", "table", "blockquote"):
+        return beside or n.link_density() < 0.5
+    if n.role in ("p", "div", "section", "article", "main", "center"):
+        return n.score >= bar or n.link_density() < 0.25 or n.size > 80 and n.link_density() < 0.5
+    return beside and n.score >= bar or n.role not in BLOCK_TAGS and n.link_density() < 0.5
+
+
 def main_nodes(root: Node) -> list[Node]:
-    """The best container and its worthy siblings, in document order."""
-    best = score_tree(root)
-    if best.parent is None:
-        return [best]
+    """The best container, its worthy siblings and those of the containers around it, in document order."""
+    best = node = score_tree(root)
     bar = max(10.0, best.score * 0.2)
-    kept = []
-    for s in best.parent.kids:
-        if s is best or s.role in ("h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "pre", "math", "table", "#", "blockquote"):
-            kept.append(s)
-        elif s.score >= bar or s.role in ("p", "div", "section", "article") and (s.link_density() < 0.25 or s.size > 80 and s.link_density() < 0.5):
-            kept.append(s)
-        elif s.role not in BLOCK_TAGS and s.link_density() < 0.5:
-            kept.append(s)
-    return kept if best.parent.parent is None else [*kept_above(best.parent), *kept]
-
-
-def kept_above(node: Node) -> list[Node]:
-    """Headings that stand before ``node`` in its ancestors."""
-    out: list[Node] = []
+    before: list[list[Node]] = []
+    after: list[list[Node]] = []
     while node.parent is not None:
-        before = node.parent.kids[: node.parent.kids.index(node)]
-        out = [b for b in before if re.fullmatch("h[1-6]", b.role)] + out
+        kids = node.parent.kids
+        at = kids.index(node)
+        before.append([k for k in kids[:at] if worthy(k, bar, node is best)])
+        after.append([k for k in kids[at + 1 :] if worthy(k, bar, node is best)])
         node = node.parent
-    return out
+    return [*(k for level in reversed(before) for k in level), best, *(k for level in after for k in level)]
 
 
 def html_blocks(nodes: list[Node]) -> list[tuple[str, int, str]]:
@@ -260,40 +276,41 @@ def html_blocks(nodes: list[Node]) -> list[tuple[str, int, str]]:
         if text.strip():
             out.append((role, level, text))
 
-    def walk(n: Node, role: str, level: int) -> None:
+    roles = {"li": "item", "pre": "code", "math": "formula", "blockquote": "quote", "td": "cell", "th": "cell"}
+    # (node, its role, its level, whether its kids are done): a stack, so depth costs nothing
+    stack = [(n, "para", 0, False) for n in reversed(nodes)]
+    while stack:
+        n, role, level, done = stack.pop()
+        if done:
+            flush(role, level)
+            continue
         if n.role == "#":
             buffer.append(n.text)
-            return
+            continue
         if n.role in ("script", "style", "head"):
-            return
-        block = n.role in BLOCK_TAGS
-        mine, lvl = {"li": "item", "pre": "code", "math": "formula", "blockquote": "quote", "td": "cell", "th": "cell"}.get(n.role, role), level
-        if n.level:
-            mine, lvl = "heading", n.level
+            continue
+        mine, lvl = ("heading", n.level) if n.level else (roles.get(n.role, role), level)
         if n.role == "tr":
             flush(role, level)
-            cells = []
-            for c in n.kids:
-                if c.role in ("td", "th"):
-                    cells.append(tidy(plain(c)))
+            cells = [tidy(plain(c)) for c in n.kids if c.role in ("td", "th")]
             if any(cells):
                 out.append(("row", 0, " | ".join(cells)))
-            return
-        if block:
+            continue
+        if n.role in BLOCK_TAGS:
             flush(role, level)
-        for k in n.kids:
-            walk(k, mine, lvl)
-        if block:
-            flush(mine, lvl)
-
-    for n in nodes:
-        walk(n, "para", 0)
+            stack.append((n, mine, lvl, True))
+        stack.extend((k, mine, lvl, False) for k in reversed(n.kids))
     flush()
     return out
 
 
 def plain(n: Node) -> str:
-    return n.text + "".join(plain(k) for k in n.kids)
+    out, stack = [], [n]
+    while stack:
+        n = stack.pop()
+        out.append(n.text)
+        stack.extend(reversed(n.kids))
+    return "".join(out)
 
 
 def tidy(text: str) -> str:
@@ -424,79 +441,186 @@ def markdown_heads(text: str, wiki: int) -> int:
     return n
 
 
+_TEMPLATE_MARK = re.compile(r"\{\{|\}\}")
+
+
+def open_templates(t: str) -> str:
+    """Templates, at any depth: those with named parameters go, of others the last parameter stays. Openings and ends without a partner stay."""
+    stack: list[list[str]] = [[]]
+    at = 0
+    for m in _TEMPLATE_MARK.finditer(t):
+        stack[-1].append(t[at : m.start()])
+        at = m.end()
+        if m[0] == "{{":
+            stack.append([])
+        elif len(stack) == 1:
+            stack[-1].append(m[0])
+        else:
+            body = "".join(stack.pop())
+            stack[-1].append("" if "=" in body else body.rsplit("|", 1)[-1])
+    stack[-1].append(t[at:])
+    return "{{".join("".join(part) for part in stack)
+
+
+_BRACE = re.compile(r"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{|\\.|[{}]", re.S)
+
+
+def open_commands(t: str) -> str:
+    """Commands with an argument, at any depth, replaced by the argument; plain braces stay outside of them."""
+    stack: list[tuple[str, list[str]]] = [("", [])]
+    inside = at = 0
+    for m in _BRACE.finditer(t):
+        stack[-1][1].append(t[at : m.start()])
+        at = m.end()
+        if m[0][-1] == "{" and m[0] != "\\{":
+            stack.append((m[0], []))
+            inside += m[0] != "{"
+        elif m[0] == "}" and len(stack) > 1:
+            mark, parts = stack.pop()
+            inside -= mark != "{"
+            body = "".join(parts)
+            stack[-1][1].append(body if mark != "{" or inside else "{" + body + "}")
+        else:
+            stack[-1][1].append(m[0])
+    stack[-1][1].append(t[at:])
+    return "".join(mark + "".join(parts) for mark, parts in stack)
+
+
 def strip_latex(t: str) -> str:
     t = re.sub(r"\\(?:label|ref|eqref|pageref|cite[a-z]*|vspace\*?|hspace\*?|index|bibliographystyle|bibliography|input|include|includegraphics|usepackage|documentclass)(?:\[[^\]\n]*\])?\{[^{}\n]*\}", "", t)
     t = re.sub(r"\\(?:textcolor|colorbox|href)\{[^{}\n]*\}", "", t)
-    for _ in range(4):
-        t, n = re.subn(r"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{([^{}]*)\}", r"\1", t)
-        if not n:
-            break
+    t = open_commands(re.sub(r"\\\\(?:\[-?\d[^\]\n]*\])?", " ", t))
     t = re.sub(r"\\(?:hline|toprule|midrule|bottomrule|maketitle|noindent|centering|newpage|par|bigskip|medskip|smallskip|hfill)(?![A-Za-z])", "", t)
     t = re.sub(r"\{\\[a-z]+\s+([^{}]*)\}", r"\1", t)
     t = re.sub(r"\\[A-Za-z]+\*?(?![A-Za-z])[ ]?", "", t)
     t = re.sub(r"\\([%&#$_{}])", r"\1", t)
-    return re.sub(r"(?<=\S)~(?=\S)|~", " ", t)
+    # two of them are marks of Markdown
+    return re.sub("(?<!~)~(?!~)", " ", t)
+
+
+_RUN = re.compile(r"\*+|_+")
+
+
+def open_strong(t: str) -> str:
+    """Emphasis marks, at any depth, taken away: a run of one to three stars or underscores that opens at the beginning of a word (two or three stars anywhere), and the same run that ends one."""
+    if "*" not in t and "_" not in t:
+        return t
+    lines = t.split("\n")
+    for k, line in enumerate(lines):
+        if "*" not in line and "_" not in line:
+            continue
+        gone: list[tuple[int, int]] = []
+        # openings that wait for their end: [sign, first place, end]
+        waiting: list[list] = []
+        count = {"*": 0, "_": 0}
+        for m in _RUN.finditer(line):
+            a, b, sign = m.start(), m.end(), m[0][0]
+            if b - a > 3:
+                continue
+            before, after = line[a - 1 : a], line[b : b + 1]
+            many = sign == "*" and b - a > 1
+            if before != "" and not before.isspace() and before != "\\" and (many or not (after.isalnum() or after == "_")):
+                while a < b and count[sign]:
+                    # what opened inside and did not end is no mark
+                    while waiting[-1][0] != sign:
+                        count[waiting.pop()[0]] -= 1
+                    top = waiting[-1]
+                    n = min(b - a, top[2] - top[1])
+                    gone += [(top[2] - n, top[2]), (a, a + n)]
+                    a += n
+                    top[2] -= n
+                    if top[1] == top[2]:
+                        waiting.pop()
+                        count[sign] -= 1
+            if a < b and after and not after.isspace() and before != "\\" and (many or not (before.isalnum() or before == "_")):
+                waiting.append([sign, a, b])
+                count[sign] += 1
+        if gone:
+            out, at = [], 0
+            for a, b in sorted(gone):
+                out.append(line[at:a])
+                at = b
+            lines[k] = "".join([*out, line[at:]])
+    return "\n".join(lines)
+
+
+_AMPS = re.compile(r"&(?:(?:amp|AMP|#0*38|#[xX]0*26);)+")
+
+
+def unescaped(t: str) -> str:
+    """Escapes read until none is left, also those that were escaped several times."""
+    while "&" in t:
+        new = html.unescape(_AMPS.sub("&", t))
+        if new == t:
+            break
+        t = new
+    return t
 
 
-def read(text: str, kinds: dict[str, int]) -> list[tuple[str, int, str]]:
-    """The blocks (role, level, text) of a text in the given languages."""
+def read(text: str, kinds: dict[str, int]) -> tuple[list[tuple[str, int, str]], set[str]]:
+    """The blocks (role, level, text) of a text in the proposed languages, and those of the languages of which something was taken away."""
     kept: list[tuple[str, str]] = []
+    took: set[str] = set()
+    t = text
 
     def keep(role: str, body: str) -> str:
         kept.append((role, body))
         return f"\n\ue000{len(kept) - 1}\ue001\n" if role in ("code", "formula") and "\n" in body or role == "code" else f"\ue000{len(kept) - 1}\ue001"
 
-    t = text
+    def became(kind: str, new: str) -> None:
+        nonlocal t
+        if new != t:
+            took.add(kind)
+            t = new
+
+    tags = "wiki" if "wiki" in kinds else "html"
     if "markdown" in kinds:
-        t = MD_FENCE.sub(lambda m: keep("code", m[2].rstrip("\n")), t)
+        became("markdown", MD_FENCE.sub(lambda m: keep("code", m[2].rstrip("\n")), t))
     if "latex" in kinds:
-        t = LATEX_CODE.sub(lambda m: keep("code", (m[2] or m[4] or "").strip("\n")), t)
+        became("latex", LATEX_CODE.sub(lambda m: keep("code", (m[2] or m[4] or "").strip("\n")), t))
     if "wiki" in kinds or "html" in kinds:
-        t = re.sub(r"(?is)<(syntaxhighlight|source|pre|code)\b[^>]*>(.*?)</\1>", lambda m: keep("code" if "\n" in m[2] or m[1].lower() != "code" else "inline", html.unescape(m[2])), t)
-        t = re.sub(r"(?is)<math>(.*?)</math>", lambda m: keep("formula", m[1].strip()), t)
+        became(tags, CODE_TAG.sub(lambda m: keep("code" if "\n" in m[2] or m[1].lower() != "code" else "inline", html.unescape(m[2])), t))
+        became(tags, MATH_TAG.sub(lambda m: keep("formula", m[1].strip()), t))
     if kinds:
-        t = MATH.sub(lambda m: m[0] if m[0][0] == "$" and money(m[0]) else keep("formula", m[0].strip("$").removeprefix("\\(").removesuffix("\\)").removeprefix("\\[").removesuffix("\\]").strip()), t)
+        # formulas are LaTeX residue only where the text is LaTeX
+        new = MATH.sub(lambda m: m[0] if m[0][0] == "$" and money(m[0]) else keep("formula", m[0].strip("$").removeprefix("\\(").removesuffix("\\)").removeprefix("\\[").removesuffix("\\]").strip()), t)
+        became("latex", new)
     if "wiki" in kinds:
-        t = re.sub(r"(?is)<ref\b[^>/]*/>|<ref\b[^>]*>.*?</ref>|</?nowiki\s*/?>|<references\s*/?>", "", t)
-        t = re.sub(r"\[\[(?:Файл|File|Изображение|Image):[^\[\]\n|]*\|(?:[^\[\]\n]*\|)?(?:мини|thumb|frame|\d+px)?\]\]", "", t)
-        t = WIKI_LINK.sub(lambda m: m[0][2:-2].rsplit("|", 1)[-1], t)
-        for _ in range(3):
-            t, n = WIKI_TEMPLATE.subn(lambda m: "" if "=" in m[0] else m[0][2:-2].rsplit("|", 1)[-1], t)
-            if not n:
-                break
-        t = WIKI_QUOTE.sub(r"\2", t)
-        t = re.sub(r"(?m)^[ \t]*(?:\{\|.*|\|\}|\|-.*|\|\+.*)$", "", t)
-        t = re.sub(r"(?m)^[ \t]*[|!](.*)$", lambda m: "\ue002r " + re.sub(r"\|\||!!", " | ", m[1]).strip(), t)
-        t = WIKI_HEAD.sub(lambda m: f"\ue002h{len(m[1])} {m[2]}", t)
-        t = re.sub(r"(?m)^[*#:;]+[ \t]*(?=\S)", "\ue002i ", t)
+        new = WIKI_REF.sub("", t)
+        new = re.sub(r"\[\[(?:Файл|File|Изображение|Image):[^\[\]\n|]*\|(?:[^\[\]\n]*\|)?(?:мини|thumb|frame|\d+px)?\]\]", "", new)
+        new = open_templates(WIKI_LINK.sub(lambda m: m[0][2:-2].rsplit("|", 1)[-1], new))
+        while (opened := WIKI_QUOTE.sub(r"\2", new)) != new:
+            new = opened
+        new = re.sub(r"(?m)^[ \t]*(?:\{\|.*|\|\}|\|-.*|\|\+.*)$", "", new)
+        new = re.sub(r"(?m)^[ \t]*[|!](.*)$", lambda m: "\ue002r " + re.sub(r"\|\||!!", " | ", m[1]).strip(), new)
+        new = WIKI_HEAD.sub(lambda m: f"\ue002h{len(m[1])} {m[2]}", new)
+        signs = "[*:;]" if "markdown" in kinds and markdown_heads(new, 1) else "[*#:;]"
+        became("wiki", re.sub(rf"(?m)^{signs}+[ \t]*(?=\S)", "\ue002i ", new))
     if "latex" in kinds:
-        t = re.sub(r"\\((?:sub)*)(?:section|chapter|part|title)\*?\{([^{}\n]*)\}", lambda m: f"\n\ue002h{1 + len(m[1]) // 3} {m[2]}\n", t)
-        t = re.sub(r"\\begin\{tabular\}\{[^}\n]*\}(.*?)\\end\{tabular\}", lambda m: "\n" + "\n".join("\ue002r " + " | ".join(strip_latex(c).strip() for c in row.split("&")) for row in m[1].split("\\\\") if strip_latex(row).strip()) + "\n", t, flags=re.S)
-        t = re.sub(r"\\item(?:\[[^\]\n]*\])?[ \t]*", "\n\ue002i ", t)
-        t = re.sub(r"\\(?:begin|end)\{[^}\n]*\}(?:\[[^\]\n]*\])?", "\n", t)
-        t = strip_latex(t)
+        new = re.sub(r"\\((?:sub)*)(?:section|chapter|part|title)\*?\{([^{}\n]*)\}", lambda m: f"\n\ue002h{1 + len(m[1]) // 3} {m[2]}\n", t)
+        new = TABULAR.sub(lambda m: "\n" + "\n".join("\ue002r " + " | ".join(strip_latex(c).strip() for c in row.split("&")) for row in m[1].split("\\\\") if strip_latex(row).strip()) + "\n", new)
+        new = re.sub(r"\\item(?:\[[^\]\n]*\])?[ \t]*", "\n\ue002i ", new)
+        new = re.sub(r"\\(?:begin|end)\{[^}\n]*\}(?:\[[^\]\n]*\])?", "\n", new)
+        became("latex", strip_latex(new))
     if "markdown" in kinds:
-        t = re.sub(r"(?m)^[ ]{0,3}\|?[ \t]*:?-{1,}:?[ \t]*(?:\|[ \t]*:?-{1,}:?[ \t]*)+\|?[ \t]*$", "", t)
-        t = re.sub(r"(?m)^[ ]{0,3}\|(.*)\|[ \t]*$", lambda m: "\ue002r " + " | ".join(c.strip() for c in m[1].split("|")), t)
-        t = MD_HEAD.sub(lambda m: f"\ue002h{len(m[1])} {m[2]}", t)
-        if "===" in t or "---" in t:
-            t = setext(t)
-        t = MD_RULE.sub("", t)
-        t = MD_QUOTE.sub("\ue002q ", t)
-        t = re.sub(r"(?m)^[ \t]*(?:[-*+]|\d+[.)])[ \t]+(?:\[[ xX]\][ \t]+)?(?=\S)", "\ue002i ", t)
-        t = MD_LINK.sub(lambda m: "" if m[0][0] == "!" else (m[1] or m[3] or ""), t)
-        for _ in range(2):
-            t = MD_STRONG.sub(lambda m: m[2] or m[4] or m[6] or "", t)
-        t = MD_STRIKE.sub(r"\2", t)
-        t = MD_TICK.sub(r"\2", t)
-        t = MD_FOOT.sub("", t)
-        t = MD_ESCAPE.sub(lambda m: m[0][1], t)
+        new = re.sub(r"(?m)^[ ]{0,3}\|?[ \t]*:?-{1,}:?[ \t]*(?:\|[ \t]*:?-{1,}:?[ \t]*)+\|?[ \t]*$", "", t)
+        new = re.sub(r"(?m)^[ ]{0,3}\|(.*)\|[ \t]*$", lambda m: "\ue002r " + " | ".join(c.strip() for c in m[1].split("|")), new)
+        new = MD_HEAD.sub(lambda m: f"\ue002h{len(m[1])} {m[2]}", new)
+        if "===" in new or "---" in new:
+            new = setext(new)
+        new = MD_QUOTE.sub("\ue002q ", MD_RULE.sub("", new))
+        new = re.sub(r"(?m)^[ \t]*(?:[-*+]|\d+[.)])[ \t]+(?:\[[ xX]\][ \t]+)?(?=\S)", "\ue002i ", new)
+        new = MD_LINK.sub(lambda m: "" if m[0][0] == "!" else (m[1] or m[3] or ""), new)
+        new = MD_TICK.sub(r"\2", MD_STRIKE.sub(r"\2", open_strong(new)))
+        became("markdown", MD_ESCAPE.sub(lambda m: m[0][1], MD_FOOT.sub("", new)))
     blocks: list[tuple[str, int, str]]
     if "html" in kinds or "wiki" in kinds:
-        for _ in range(2):
-            t = html.unescape(t)
-        t = re.sub(r"(?is)<(script|style)\b.*?</\1>", "", t)
-        blocks = html_blocks(main_nodes(html_tree(t)))
+        became(tags, unescaped(t))
+        became(tags, SCRIPT.sub("", t))
+        root = html_tree(t)
+        if plain(root) != t:
+            took.add(tags)
+        blocks = html_blocks(main_nodes(root))
     else:
         blocks = [("para", 0, t)]
 
@@ -521,7 +645,7 @@ def read(text: str, kinds: dict[str, int]) -> list[tuple[str, int, str]]:
                 out.append((r, lvl, p))
             if after.strip():
                 out.append((role, level, tidy(restore(after))))
-    return out
+    return out, took & kinds.keys()
 
 
 def clean_text(text: str | None) -> tuple[str | None, list[str], list[tuple[str, int, str]]]:
@@ -531,8 +655,10 @@ def clean_text(text: str | None) -> tuple[str | None, list[str], list[tuple[str,
     kinds = find_kinds(text)
     if not kinds:
         return text, [], [("para", 0, text)] if text.strip() else []
-    blocks = read(text, kinds)
-    return "\n".join(b[2] for b in blocks), sorted(kinds), blocks
+    blocks, took = read(text, kinds)
+    if not took:
+        return text, [], [("para", 0, text)] if text.strip() else []
+    return "\n".join(b[2] for b in blocks), sorted(took), blocks
 
 
 # ---------------------------------------------------------------- tables and formulas
@@ -634,20 +760,16 @@ def clean_markup(df: DataFrame, text: str = "text", out: str = "markup") -> Data
     return cleaned.withColumn(out, result).drop("__seen")
 
 
-def kinds_of_cells(table_html: str | None) -> list[str]:
-    """Languages found in the cells of a table once the table itself has been read."""
+def read_table(table_html: str | None) -> tuple[list[list[str]] | None, list[str]]:
+    """The clean cells of a table, and the languages taken out of them once the table itself has been read."""
     if not table_html:
-        return []
-    got: Counter[str] = Counter()
-    for row in table_cells(table_html):
-        for cell in row:
-            if re.search(SUSPECT, cell):
-                got.update(find_kinds(cell))
-    return sorted(got)
+        return None, []
+    got = [[clean_text(c) if SUSPECTED.search(c) else (c, [], []) for c in row] for row in table_cells(table_html)]
+    return [[c[0] or "" for c in row] for row in got], sorted({k for row in got for c in row for k in c[1]})
 
 
-def cell_text(cell: str) -> str:
-    return clean_text(cell)[0] or ""
+def kinds_of_cells(table_html: str | None) -> list[str]:
+    return read_table(table_html)[1]
 
 
 FRAGMENT = T.StructType(
@@ -665,8 +787,9 @@ def _fragment_udf(texts: pd.Series, tables: pd.Series, formulas: pd.Series) -> p
     rows: list[dict] = []
     for text, table, formula in zip(texts, tables, formulas, strict=True):
         clean, kinds, _ = clean_text(text)
-        kinds = set(kinds) | set(kinds_of_cells(table))
-        cells = [[cell_text(c) for c in r] for r in table_cells(table)] if table else None
+        kinds = set(kinds)
+        cells, of_cells = read_table(table)
+        kinds.update(of_cells)
         said = None
         if formula:
             mangled, prose = formula_prose(formula)

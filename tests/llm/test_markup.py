@@ -1,6 +1,8 @@
 import random
 import time
 
+import pytest
+
 from sheafline.llm import markup as M
 
 DOC = "doc_id long, text string"
@@ -91,3 +93,49 @@ def test_forward_scan_finds_what_the_pattern_finds():
     for f, opening in zip(scans, ("<!-- ", "\\( ", " ''a", " _a", " `a"), strict=True):
         assert not [m for m in f.finditer(opening * 20_000) if len(m[0]) > 40_000]
     assert time.time() - began < 10
+
+
+@pytest.mark.parametrize(
+    "text, kind, clean",
+    [
+        ("before <!--" + "x" * 20_005 + "--> after", "html", "before after"),
+        (r"\textbf{b} \(" + "x+1 " * 20_005 + r"\) end", "latex", "b " + ("x+1 " * 20_005).strip() + " end"),
+        ("see {{a|{{b|{{c|{{d|{{e|deep}}}}}}}}}} end", "wiki", "see deep end"),
+        (r"\textbf{a \emph{b \textit{c \textsf{d \texttt{e \underline{f}}}}}}", "latex", "a b c d e f"),
+        ("<b>x " * 1200, "html", ("x " * 1200).strip()),
+        ("&amp;amp;amp;lt;b&amp;amp;gt;bold &nbsp;", "html", "bold"),
+        ("**bold *and __deep__ marks***", "markdown", "bold and deep marks"),
+        (r"seals\\[2mm] the \emph{pump}", "latex", "seals the pump"),
+        (r"\emph{a} b ~~c~~", "latex", "a b c"),
+    ],
+)
+def test_constructs_of_any_length_and_depth(text, kind, clean):
+    got, kinds, _ = M.clean_text(text)
+    assert kind in kinds and " ".join(got.split()) == clean
+
+
+def test_hostile_texts_stay_cheap():
+    began = time.time()
+    for text in ("<b>" * 40_000 + "</i>" * 40_000, "{{" * 40_000 + "}}" * 40_000 + "[[a]]", "*_" * 20_000 + "a" + "_*" * 20_000, "\\textbf{" * 20_000 + "}" * 20_000, "<pre>" * 20_000 + "<!--" * 20_000, "&" + "amp;" * 20_000 + "lt;b>"):
+        M.clean_text(text)
+    assert time.time() - began < 30
+
+
+def test_what_stands_around_the_best_container_stays():
+    page = (
+        "<p>Intro paragraph that is long enough, with commas, and more.</p><ul><li>one</li><li>two</li></ul><pre>x = 1\ny = 2</pre>"
+        + "<div><div><p>" + "Long text, with commas, of the winner. " * 30 + "</p><p>" + "More text, of it. " * 20 + "</p></div></div>"
+        + "<p>Closing paragraph, long enough to stay.</p><table><tr><td>a</td><td>b</td></tr></table><ul><li><a href=x>Home</a></li><li><a href=y>About us</a></li></ul><nav><a href=z>Next</a></nav>"
+    )
+    clean, kinds, blocks = M.clean_text(page)
+    assert kinds == ["html"]
+    for part in ("Intro paragraph", "one", "two", "x = 1\ny = 2", "Long text", "Closing paragraph", "a | b"):
+        assert part in clean
+    assert "Home" not in clean and "Next" not in clean
+    assert clean.index("Intro") < clean.index("Long") < clean.index("Closing")
+
+
+def test_kinds_are_what_the_reader_took():
+    assert M.clean_text("plain text, 5 < 6 & 7 > 3")[1] == []
+    blocks, took = M.read("plain text", {"html": 1, "markdown": 1})
+    assert took == set() and blocks == [("para", 0, "plain text")]
