@@ -80,8 +80,8 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p7_aligned(spark: SparkSession, root: str) -> DataFrame:
-    """Every document and item that share a seed, with the longest run and the alignment score."""
-    return leakage.leaks(spread(table(spark, root, "documents").select("doc_id", "text")), table(spark, root, "eval_items"))
+    """Every document and item that share a seed, with the longest run, the alignment score and what it makes of the pair."""
+    return leakage.aligned(spread(table(spark, root, "documents").select("doc_id", "text")), table(spark, root, "eval_items"))
 
 
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
