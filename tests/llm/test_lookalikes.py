@@ -31,3 +31,29 @@ def test_columns(spark):
     assert L.found(lines.limit(0), edits.limit(0), words).count() == 0
     clash = L.one_form(lines.withColumn("one", lines.line_id), L.fit(lines, words))
     assert clash.columns == ["line_id", "method", "text", "one"] and clash.count() == 5
+
+
+@pytest.mark.parametrize("text, form", [("Aλφα βήτα γάμμα", "Αλφα βήτα γάμμα"), ("κιλo βάρος", "κιλο βάρος"), ("ΔT = 5, µm", "ΔT = 5, µm")])
+def test_greek(reader, text, form):
+    assert reader.line(text)[0] == form
+
+
+def test_habits_of_long_shapes_stay_apart(spark):
+    # two designations whose first sixteen signs have one pattern
+    a, b = "ВК.1.2.3.4.5.6.7.8.9-АВ-ЖЖ", "BK.1.2.3.4.5.6.7.8.9-AB-ZZ-TX"
+    lines = [(i, t) for i, t in enumerate([a] * 5 + [b] * 5 + ["ВK.1.2.3.4.5.6.7.8.9-АВ-ЖЖ", "BК.1.2.3.4.5.6.7.8.9-AB-ZZ-TX"])]
+    df = spark.createDataFrame(lines, "line_id long, text string")
+    words = spark.createDataFrame([("насос", "ru"), ("pump", "en")], "word string, lang string")
+    got = {r.line_id: r.one for r in L.one_form(df, L.fit(df, words)).collect()}
+    assert got[10].form == a and got[11].form == b and got[10].disguised and not got[0].disguised and not got[5].disguised
+
+
+def test_lines_by_the_table_and_in_memory_agree(spark):
+    texts = ["опopный вал", "Здесь oca питает вал", "thе рumр opens", "HPУE.455684.841", "НРУЕ.455684.842", "НРУЕ.455684.843", "рыьiба", "", "Ra 39; α = 12°.", "ваl oca oca"] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "line_id long, text string")
+    words = spark.createDataFrame(WORDS, "word string, lang string")
+    fitted = L.fit(df, words)
+    local = L.Reader(WORDS, {r.key: [r.s0, r.s1, r.s2] for r in fitted.table.collect()})
+    for r in L.one_form(df, fitted).collect():
+        form, changed, foreign = local.line(r.text)
+        assert (r.one.form, r.one.disguised) == (form, changed or foreign), r.text
