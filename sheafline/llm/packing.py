@@ -3,9 +3,10 @@
 The lengths are reduced to a histogram (at most ``capacity`` bins, so its size is bounded by a parameter, not by the
 data). On the driver, shallow combinations of lengths that fill a window below the capacity are enumerated, their repeat
 counts solved by non-negative least squares against the histogram, and rounded so that no length is used more often than
-it occurs. What is left is packed greedily, histogram bin by histogram bin. The result is a plan of bounded size: for each length, which range
+it occurs. The same is done again with what is left (so a combination that one round has no room for gets its turn), as long as it places a noticeable share of it. The rest is
+packed greedily, histogram bin by histogram bin. The result is a plan of bounded size: for each length, which range
 of its ranks goes to which containers. Documents get a rank within their length (salted, so a length that a third of all
-documents share is no single task) and meet the plan in a join.
+documents share is no single task); the plan is broadcast, and a binary search in the ranges of a document's length finds its container.
 
 A document above the capacity is cut into full containers and a rest; the rest is packed like a document.
 """
@@ -13,6 +14,7 @@ A document above the capacity is cut into full containers and a rest; the rest i
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,20 +117,24 @@ def make_plan(lengths: list[int], counts: list[int], capacity: int, window: int
     for k in np.flatnonzero(full):
         plan.append(([int(lens[k])], int(left[k])))
         left[k] = 0
-    some = left > 0
-    combos = combinations(lens[some], left[some], capacity, window if window is not None else max(1, capacity // 128), most)
-    index = np.flatnonzero(some)
-    x = repeat_counts(combos, lens[some], left[some].astype(float), capacity)
-    repeats = np.floor(x + 0.5).astype(np.int64)
-    for c in np.argsort(-x, kind="stable"):
-        if not repeats[c]:
-            continue
-        used = index[combos[c][combos[c] >= 0]]
-        kinds, times = np.unique(used, return_counts=True)
-        r = int(min(repeats[c], (left[kinds] // times).min()))
-        if r > 0:
-            left[kinds] -= r * times
-            plan.append((lens[used].tolist(), r))
+    while left.any():
+        some = left > 0
+        combos = combinations(lens[some], left[some], capacity, window if window is not None else max(1, capacity // 128), most)
+        index = np.flatnonzero(some)
+        x = repeat_counts(combos, lens[some], left[some].astype(float), capacity)
+        repeats = np.floor(x + 0.5).astype(np.int64)
+        before = int((lens * left).sum())
+        for c in np.argsort(-x, kind="stable"):
+            if not repeats[c]:
+                continue
+            used = index[combos[c][combos[c] >= 0]]
+            kinds, times = np.unique(used, return_counts=True)
+            r = int(min(repeats[c], (left[kinds] // times).min()))
+            if r > 0:
+                left[kinds] -= r * times
+                plan.append((lens[used].tolist(), r))
+        if before - int((lens * left).sum()) < before // 20 + 1:
+            break
     # greedy: the longest that is left, filled up with the longest that fit; the same filling as often as it can be had
     while left.any():
         room, used = capacity, {}
@@ -152,29 +158,19 @@ def make_plan(lengths: list[int], counts: list[int], capacity: int, window: int
     return plan
 
 
-PLAN = T.StructType(
-    [
-        T.StructField("profile", T.StringType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("rank_from", T.LongType()),
-        T.StructField("rank_to", T.LongType()),
-        T.StructField("first_container", T.LongType()),
-        T.StructField("per_container", T.LongType()),
-    ]
-)
-
-
-def plan_rows(profile: str, plan: list[tuple[list[int], int]]) -> list[tuple]:
-    """The plan by length: ranks [rank_from, rank_to) go, ``per_container`` at a time, to containers from first_container on."""
-    rows, taken, container = [], {}, 0
+def by_length(plan: list[tuple[list[int], int]]) -> dict[int, np.ndarray]:
+    """The plan of each length as rows (rank_from, first container, how many a container), by rank: the ranks from rank_from on go, so many at a time, to containers from the first on."""
+    rows: dict[int, list[tuple[int, int, int]]] = {}
+    taken: dict[int, int] = {}
+    container = 0
     for lens, repeat in plan:
         kinds, times = np.unique(lens, return_counts=True)
         for length, n in zip(kinds.tolist(), times.tolist(), strict=True):
             at = taken.get(length, 0)
-            rows.append((profile, length, at, at + n * repeat, container, n))
+            rows.setdefault(length, []).append((at, container, n))
             taken[length] = at + n * repeat
         container += repeat
-    return rows
+    return {length: np.array(r, dtype=np.int64) for length, r in rows.items()}
 
 
 def pack(docs: DataFrame, profiles: dict[str, int], id_col: str = "doc_id", text: str = "text", rows_per_salt: int = 500_000) -> DataFrame:
@@ -202,8 +198,18 @@ def pack(docs: DataFrame, profiles: dict[str, int], id_col: str = "doc_id", text
         lens.append(r["tokens"])
         counts.append(r["n"])
     total = sum(sum(c) for _, c in bins.values())
-    rows = [row for p, (lens, counts) in sorted(bins.items()) for row in plan_rows(p, make_plan(lens, counts, profiles[p]))]
-    plan = spark.createDataFrame(rows, PLAN)
+    # at most a few rows a combination and a length: bounded by ``most`` and the capacities
+    plan = spark.sparkContext.broadcast({p: by_length(make_plan(lens, counts, profiles[p])) for p, (lens, counts) in sorted(bins.items())})
+
+    @F.pandas_udf(T.LongType())
+    def container_of(profile: pd.Series, length: pd.Series, rank: pd.Series) -> pd.Series:
+        out = np.full(len(rank), -1, dtype=np.int64)
+        ranks = rank.to_numpy()
+        for (p, n), at in pd.DataFrame({"p": profile.to_numpy(), "n": length.to_numpy()}).groupby(["p", "n"]).indices.items():
+            rows = plan.value[p][n]
+            row = rows[np.searchsorted(rows[:, 0], ranks[at], side="right") - 1]
+            out[at] = row[:, 1] + (ranks[at] - row[:, 0]) // row[:, 2]
+        return pd.Series(out)
 
     salts = max(1, total // rows_per_salt)
     salted = cut.withColumn("__salt", F.pmod(F.xxhash64("__id", "piece"), F.lit(salts)))
@@ -213,13 +219,11 @@ def pack(docs: DataFrame, profiles: dict[str, int], id_col: str = "doc_id", text
     ranked = salted.withColumn("__r", F.row_number().over(within) - 1)
     if salts > 1:
         ranked = ranked.join(before, ["profile", "tokens", "__salt"]).withColumn("__r", F.col("__r") + F.col("__before"))
-    c, p = ranked.alias("c"), plan.alias("p")
-    on = (F.col("c.profile") == F.col("p.profile")) & (F.col("c.tokens") == F.col("p.length")) & (F.col("c.__r") >= F.col("p.rank_from")) & (F.col("c.__r") < F.col("p.rank_to"))
-    placed = c.join(p, on, "left")
-    container = F.when(F.col("c.tokens") == 0, F.lit(None)).when(F.col("c.tokens") == F.col("c.cap"), -F.col("c.__r") - 1).otherwise(
-        F.col("p.first_container") + F.floor((F.col("c.__r") - F.col("p.rank_from")) / F.col("p.per_container"))
-    )
-    return placed.select(F.col("c.profile").alias("profile"), F.col("c.__id").alias(id_col), "piece", "pieces", "token_from", "token_to", F.col("c.tokens").alias("tokens"), container.cast("long").alias("container"))
+    planned = (F.col("tokens") > 0) & (F.col("tokens") < F.col("cap"))
+    # full pieces and documents without tokens need no plan
+    inner = ranked.filter(planned).withColumn("container", container_of("profile", "tokens", "__r"))
+    outer = ranked.filter(~planned).withColumn("container", F.when(F.col("tokens") == F.col("cap"), -F.col("__r") - 1).cast("long"))
+    return inner.unionByName(outer).select("profile", F.col("__id").alias(id_col), "piece", "pieces", "token_from", "token_to", "tokens", "container")
 
 
 def profiles_of(limits: DataFrame, unit: str = "tokens") -> dict[str, int]:
@@ -236,5 +240,5 @@ def fill_rates(packed: DataFrame, profiles: dict[str, int], spark: SparkSession)
 
 
 def found(documents: DataFrame, limits: DataFrame) -> DataFrame:
-    """(profile, doc_id): the documents that packing had to cut."""
-    return pack(documents.select("doc_id", "text"), profiles_of(limits)).filter("pieces > 1").select("profile", "doc_id").distinct()
+    """(profile, doc_id): the documents whose pieces were placed in containers because the whole would not fit."""
+    return pack(documents.select("doc_id", "text"), profiles_of(limits)).filter("pieces > 1 and container is not null").select("profile", "doc_id").distinct()
