@@ -55,10 +55,20 @@ def mixed_script_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"(?U)(?:[a-zA-Z][а-яёА-ЯЁ]|[а-яёА-ЯЁ][a-zA-Z])"))
 
 
+# Words that open a part of a document.
+PART_WORDS = ("глава", "раздел", "приложение", "chapter", "section", "appendix")
+
+
 def is_header(text: Column) -> Column:
-    """A heading by its look: at most 200 characters and numbered, upper case, a chapter word or a trailing colon."""
+    """A heading by its look: at most 200 characters, and a number before a title in capitals, a part word with something after it, capitals only, or a short label with a colon."""
     t = F.trim(text)
-    return (F.length(t) > 0) & (F.length(t) <= 200) & t.rlike(r"^(\d+(\.\d+)*\.?\s+\p{Lu}|[\p{Lu}\d .,-]{4,}$|(Глава|Раздел|Приложение|Chapter|Section|Appendix)\s|[^.!?]{3,80}:$)")
+    first, second = F.substring_index(t, " ", 1), F.substring_index(F.substring_index(t, " ", 2), " ", -1)
+    numbered = F.translate(first, "0123456789.", "") == ""
+    titled = numbered & ~first.startswith(".") & (first != second) & second.rlike(r"^\p{Lu}")
+    part = F.lower(first).isin(*PART_WORDS) & (F.length(t) > F.length(first))
+    capitals = (F.length(t) > 3) & ~t.rlike(r"[^\p{Lu}\p{Nd} .,-]") & t.rlike(r"\p{Lu}")
+    label = t.endswith(":") & F.length(t).between(4, 81) & ~t.rlike("[.!?]")
+    return F.length(t).between(1, 200) & (titled | part | capitals | label)
 
 
 def assignment(text: Column) -> Column:

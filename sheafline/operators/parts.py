@@ -6,11 +6,25 @@ sheet of a file, and not across two named sections. Islands are found with windo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A line that names something and stops, or a bare item number.
-LABEL = r"(?:^|\n)[ \t]*(?:(?:[-–—*•]\s*)?\S[^\n]{0,160}?[ \t]*[:：—–]|\d{1,3}(?:\.\d{1,3})*[.)])[ \t]*\s*$"
+#: Signs that a label ends with.
+LABEL_ENDS = (":", "：", "—", "–")
+
+
+def ends_in_label(text: Column) -> Column:
+    """Whether the last line of a text names something and stops: it ends with a colon or dash, or is nothing but an item number."""
+    trimmed = F.rtrim(F.regexp_replace(text, r"\s+\z", ""))
+    last = F.trim(F.substring_index(trimmed, "\n", -1))
+    bare = F.rtrim(F.lit("."), F.rtrim(F.lit(")"), last))
+    # an item number: up to three digits a level, closed by a period or bracket
+    item = (bare != last) & (F.translate(bare, "0123456789.", "") == "") & ~F.exists(F.split(bare, r"\."), lambda x: ~F.length(x).between(1, 3))
+    # a lone dash is no label
+    named = reduce(lambda x, y: x | y, [last.endswith(e) for e in LABEL_ENDS]) & (F.length(last) > 1)
+    return named | item
 
 
 def join_label_tails(fragments: DataFrame) -> DataFrame:
@@ -20,7 +34,7 @@ def join_label_tails(fragments: DataFrame) -> DataFrame:
     )
     w = Window.partitionBy("s3_fileid", "page", "sheet").orderBy("ord", "fragment_no")
     before, section = F.lag("text").over(w), F.lag("section_title").over(w)
-    goes_on = before.rlike(LABEL) & (section.isNull() | F.col("section_title").isNull() | (section == F.col("section_title")))
+    goes_on = ends_in_label(before) & (section.isNull() | F.col("section_title").isNull() | (section == F.col("section_title")))
     df = df.withColumn("fresh", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).withColumn("island", F.sum("fresh").over(w))
     return df.groupBy("s3_fileid", "page", "sheet", "island").agg(
         F.min_by("fragment_no", F.struct("ord", "fragment_no")).alias("fragment_no"),

@@ -72,6 +72,17 @@ def score(df: DataFrame, text: str, pack: tuple[Marker, ...] = PACK, order: tupl
     return ranked.withColumn(out, result).drop("__v", "__r")
 
 
+def scores(df: DataFrame, text: str, pack: tuple[Marker, ...] = PACK, order: tuple[str, ...] = ORDER) -> DataFrame:
+    """The rows of ``df``, one for each category, with ``category``, ``score`` and ``hits`` (markers that count), summed inside the row."""
+    values = df.withColumn("__v", F.array(*[F.struct(F.lit(m.category).alias("c"), marker_value(F.col(text), m).alias("v")) for m in pack]))
+
+    def total(c: str) -> Column:
+        mine = F.filter("__v", lambda x: (x["c"] == c) & (x["v"] > 0))
+        return F.struct(F.lit(c).alias("category"), F.aggregate(mine, F.lit(0.0), lambda a, x: a + x["v"]).alias("score"), F.size(mine).alias("hits"))
+
+    return values.withColumn("__c", F.explode(F.array(*[total(c) for c in order]))).select(*df.columns, "__c.category", "__c.score", "__c.hits")
+
+
 def discount(confidence: Column, inspected: Column, enough: float = 0.2, least: float = 0.1) -> Column:
     """Confidence lowered where less than ``enough`` of a document was looked at, to a tenth at most."""
     return F.when(inspected < enough, confidence * F.greatest(F.lit(least), inspected / enough)).otherwise(confidence)

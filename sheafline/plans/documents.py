@@ -47,8 +47,13 @@ def fragment_runs(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    r"""SELECT doc_id, line_no, line FROM (SELECT doc_id, unnest(generate_series(1, len(l))) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))
-      WHERE length(trim(line)) BETWEEN 1 AND 200 AND regexp_matches(trim(line), '^(\d+(\.\d+)*\.?\s+\p{Lu}|[\p{Lu}\d .,-]{4,}$|(Глава|Раздел|Приложение|Chapter|Section|Appendix)\s|[^.!?]{3,80}:$)')"""
+    r"""SELECT doc_id, line_no, line FROM (SELECT *, split_part(t, ' ', 1) AS a, split_part(t, ' ', 2) AS b FROM (SELECT doc_id, line_no, line, trim(line) AS t FROM (
+      SELECT doc_id, unnest(generate_series(1, len(l))) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))))
+    WHERE length(t) BETWEEN 1 AND 200 AND (
+      regexp_matches(a, '^[0-9][0-9.]*$') AND regexp_matches(b, '^\p{Lu}')
+      OR lower(a) IN ('глава', 'раздел', 'приложение', 'chapter', 'section', 'appendix') AND length(t) > length(a)
+      OR length(t) > 3 AND regexp_full_match(t, '[\p{Lu}\p{Nd} .,-]+') AND regexp_matches(t, '\p{Lu}')
+      OR t LIKE '%:' AND length(t) BETWEEN 4 AND 81 AND NOT regexp_matches(t, '[.!?]'))"""
 )
 def heading_lines(spark: SparkSession, root: str) -> DataFrame:
     lines = table(spark, root, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line"))
@@ -86,18 +91,16 @@ def layer_recall(spark: SparkSession, root: str) -> DataFrame:
     return both.select("s3_fileid", "page", F.round(F.least(F.lit(1.0), F.col("produced") / F.col("expected")), 3).alias("recall"), "expected", "produced")
 
 
-_CELLS = "regexp_extract_all(structured_payload.table_html, '(?is)<t[dh]\\b[^>]*>([^<]*)', 1)"
+# what stands behind each cell's opening, up to the next cell, row or end
+_CELLS = "list_transform(string_split_regex(structured_payload.table_html, '(?i)<t[dh]\\b[^>]*>')[2:], lambda x: regexp_replace(x, '(?is)</?(?:t[dhr]|thead|tbody|tfoot|table)\\b.*$', ''))"
 
 
 @R.query(
-    f"""SELECT fragment_no, len(c)::INTEGER AS cells, len(list_filter(c, lambda x: trim(x) <> ''))::INTEGER AS filled, round(CASE WHEN len(c) = 0 THEN 0.0 ELSE len(list_filter(c, lambda x: trim(x) <> '')) / len(c) END, 3) AS completeness
-      FROM (SELECT fragment_no, {_CELLS} AS c FROM fragments WHERE structured_payload.table_html IS NOT NULL)"""
+    f"""SELECT fragment_no, len(c)::INTEGER AS cells, f::INTEGER AS filled, round(CASE WHEN len(c) = 0 THEN 0.0 WHEN NOT regexp_matches(h, '(?i)<td\\b') THEN CASE WHEN f > 0 THEN 0.5 ELSE 0.0 END ELSE f / len(c) END, 3) AS completeness
+      FROM (SELECT *, len(list_filter(c, lambda x: trim(regexp_replace(x, '(?s)<!--.*?-->|</?[A-Za-z][^>]*>', '', 'g')) <> '')) AS f FROM (SELECT fragment_no, structured_payload.table_html AS h, {_CELLS} AS c FROM fragments WHERE structured_payload.table_html IS NOT NULL))"""
 )
 def table_completeness(spark: SparkSession, root: str) -> DataFrame:
-    """Filled cells of all cells, the text inside a cell's inner tags counted; a table of filled header cells only is half complete.
-
-    The SQL reads a cell only up to its first inner tag and does not have the headers' case, so it differs there.
-    """
+    """Filled cells of all cells, the text inside a cell's inner tags counted; a table of filled header cells only is half complete."""
     return table(spark, root, "fragments").filter("structured_payload.table_html is not null").select("fragment_no", *tables.completeness(F.col("structured_payload.table_html")))
 
 
@@ -313,7 +316,15 @@ def facts_from_tables(spark: SparkSession, root: str) -> DataFrame:
     return facts.extract_cells(grids, "fragment_no")
 
 
-@R.query()
+@R.query(
+    rf"""WITH t AS (SELECT fragment_no, s3_fileid, position.page AS page, coalesce(position.sheet, '') AS sheet, position."order" AS ord, section_title, text, confidence, completeness,
+        trim(string_split(regexp_replace(text, '\s+$', ''), chr(10))[-1]) AS last FROM {_LATEST} WHERE fragment_type = 'text' AND trim(text) <> ''),
+      l AS (SELECT *, length(last) > 1 AND right(last, 1) IN (':', '：', '—', '–') OR regexp_full_match(last, '[0-9]{{1,3}}(\.[0-9]{{1,3}})*[.)]') AS label FROM t),
+      f AS (SELECT *, CASE WHEN coalesce(lag(label) OVER w, FALSE) AND coalesce(lag(section_title) OVER w = section_title, TRUE) THEN 0 ELSE 1 END AS fresh FROM l WINDOW w AS (PARTITION BY s3_fileid, page, sheet ORDER BY ord, fragment_no)),
+      i AS (SELECT *, sum(fresh) OVER (PARTITION BY s3_fileid, page, sheet ORDER BY ord, fragment_no) AS island FROM f)
+    SELECT s3_fileid, page, arg_min(fragment_no, (ord, fragment_no)) AS fragment_no, string_agg(text, chr(10) ORDER BY ord, fragment_no) AS text, count(*) AS joined, min(confidence) AS confidence, min(completeness) AS completeness
+    FROM i GROUP BY s3_fileid, page, sheet, island"""
+)
 def label_tails(spark: SparkSession, root: str) -> DataFrame:
     """Texts that end in a label joined with the text that follows on the page."""
     return parts.join_label_tails(latest(table(spark, root, "fragments")))

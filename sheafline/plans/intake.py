@@ -90,9 +90,7 @@ def presence(spark: SparkSession, root: str) -> DataFrame:
 @R.query(f"SELECT doc_id, category, round(score, 6) AS score, hits::BIGINT AS hits FROM ({rules.sql_scores('documents', 'doc_id', 'text')}) WHERE score > 0")
 def rule_scores(spark: SparkSession, root: str) -> DataFrame:
     docs = spread(table(spark, root, "documents").select("doc_id", "text")).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    of = [F.struct(F.lit(m.category).alias("category"), rules.marker_value(F.col("text"), m).alias("v")) for m in rules.PACK]
-    each = docs.select("doc_id", F.explode(F.array(*of)).alias("m")).filter("m.v > 0")
-    return each.groupBy("doc_id", "m.category").agg(F.round(F.sum("m.v"), 6).alias("score"), F.count("*").alias("hits"))
+    return rules.scores(docs, "text").filter("score > 0").select("doc_id", "category", F.round("score", 6).alias("score"), F.col("hits").cast("long").alias("hits"))
 
 
 _RANKED = f"SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, rank) AS r, lead(score) OVER (PARTITION BY doc_id ORDER BY score DESC, rank) AS second FROM ({rules.sql_scores('documents', 'doc_id', 'text')})"
@@ -139,13 +137,12 @@ def quarantine_queue(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "intake_files").filter("outcome = 'quarantine'").orderBy("arrived_at", "file_no").limit(100).select("file_no", "s3_fileid", "arrived_at")
 
 
-@R.query(
-    """SELECT file_hash, s3_fileid FROM (SELECT *, row_number() OVER (PARTITION BY file_hash ORDER BY file_no DESC) r FROM (
-      SELECT file_hash, s3_fileid, file_no FROM intake_files WHERE outcome = 'accept' AND file_hash IS NOT NULL ORDER BY file_no DESC LIMIT 1000)) WHERE r = 1"""
-)
-def known_hashes(spark: SparkSession, root: str) -> DataFrame:
-    """Of the newest thousand accepted files (the report's limit), the latest id of each hash."""
-    newest = table(spark, root, "intake_files").filter("outcome = 'accept' and file_hash is not null").orderBy(F.desc("file_no")).limit(1000)
+@R.query("SELECT file_hash, arg_max(s3_fileid, file_no) AS s3_fileid FROM intake_files WHERE outcome = 'accept' AND file_hash IS NOT NULL GROUP BY file_hash")
+def known_hashes(spark: SparkSession, root: str, most: int | None = None) -> DataFrame:
+    """The latest id of each hash of the accepted files; ``most`` looks at the newest so many files only."""
+    newest = table(spark, root, "intake_files").filter("outcome = 'accept' and file_hash is not null")
+    if most:
+        newest = newest.orderBy(F.desc("file_no")).limit(most)
     return newest.groupBy("file_hash").agg(F.max_by("s3_fileid", "file_no").alias("s3_fileid"))
 
 
@@ -180,7 +177,7 @@ _BITS = " + ".join(f"CASE WHEN sum(CASE WHEN {h} IS NULL THEN 0 ELSE (({h} >> {i
 _PRINTS = f"""SELECT file_no, CASE WHEN p >= 9223372036854775808::HUGEINT THEN (p - 18446744073709551616::HUGEINT)::BIGINT ELSE p::BIGINT END AS fingerprint FROM (
       SELECT file_no, {_BITS} AS p FROM (
         SELECT f.file_no, ('0x' || substr(md5(t.tok), 1, 8))::BIGINT AS hi, ('0x' || substr(md5(t.tok), 9, 8))::BIGINT AS lo
-        FROM intake_files f LEFT JOIN (SELECT file_no, unnest(regexp_extract_all(substr(lower(text_sample), 1, 4000), '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Nl}}\\p{{Pc}}\\x{{200c}}\\x{{200d}}]{{3,}}')) AS tok FROM intake_files) t USING (file_no)) GROUP BY file_no)"""
+        FROM intake_files f LEFT JOIN (SELECT file_no, unnest(regexp_extract_all(lower(text_sample), '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Nl}}\\p{{Pc}}\\x{{200c}}\\x{{200d}}]{{3,}}')) AS tok FROM intake_files) t USING (file_no)) GROUP BY file_no)"""
 
 
 @R.query(_PRINTS)
@@ -188,10 +185,23 @@ def simhash64(spark: SparkSession, root: str) -> DataFrame:
     return H.simhash(table(spark, root, "intake_files"), "file_no", "text_sample")
 
 
-@R.query()
+@R.query(
+    f"""WITH p AS ({_PRINTS}), h AS (SELECT fingerprint, min(file_no) AS class_id FROM p WHERE fingerprint <> 0 GROUP BY 1),
+      n AS (SELECT a.class_id, b.class_id AS b, bit_count(xor(a.fingerprint, b.fingerprint)) AS d FROM h a JOIN h b ON a.class_id <> b.class_id AND bit_count(xor(a.fingerprint, b.fingerprint)) <= 6),
+      l AS (SELECT class_id, count(*) AS links, arg_min(b, (d, b)) AS nearest_id, min(d)::INTEGER AS distance FROM n GROUP BY 1)
+    SELECT file_no, coalesce(h.class_id, file_no) AS class_id, coalesce(links, 0) AS links, nearest_id, distance FROM p LEFT JOIN h USING (fingerprint) LEFT JOIN l ON l.class_id = h.class_id"""
+)
 def near_fingerprints(spark: SparkSession, root: str) -> DataFrame:
-    """Pairs of fingerprints at most six bits apart, one name a class of equal prints."""
-    return H.near_pairs(H.simhash(table(spark, root, "intake_files"), "file_no", "text_sample"), "file_no")
+    """Each file with the class of its fingerprint, how many other prints are at most six bits away, and the nearest one."""
+    return H.near_classes(H.simhash(table(spark, root, "intake_files"), "file_no", "text_sample"), "file_no")
+
+
+@R.query(f"SELECT file_no, fingerprint FROM ({_PRINTS}) JOIN intake_files USING (file_no) WHERE outcome = 'accept' AND fingerprint <> 0")
+def accepted_fingerprints(spark: SparkSession, root: str, most: int | None = None) -> DataFrame:
+    """The fingerprints of all accepted files that have one; ``most`` keeps the newest so many."""
+    own = table(spark, root, "intake_files").filter("outcome = 'accept'")
+    prints = H.simhash(own, "file_no", "text_sample").filter("fingerprint <> 0")
+    return prints.orderBy(F.desc("file_no")).limit(most) if most else prints
 
 
 @R.query(

@@ -51,24 +51,26 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def spread(df: DataFrame, most_bytes: int = 256 << 20) -> DataFrame:
-    """``df`` over all cores where a small table lies in fewer pieces than there are cores; larger tables stay as they are read.
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where it lies in fewer pieces than there are cores, whatever its size.
 
-    For stages that compute much on little data (regular expressions, pandas functions over one small file).
+    For stages that compute much on each row (regular expressions, pandas functions).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     pieces = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if pieces < cores and table_bytes(df) < most_bytes else df
+    return df.repartition(cores) if pieces < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is made; it is
-    remembered by the session, so one session uses one folder.
+    Only where the setting is absent and everything runs on one machine (tests) a temporary folder is made; it is
+    remembered by the session, so one session uses one folder. A cluster without the setting is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="sheafline-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

@@ -75,6 +75,10 @@ def test_simhash_pairs(spark):
     got = {tuple(r) for r in hashes.near_pairs(spark.createDataFrame(rows, "id long, fingerprint long"), "id").collect()}
     want = {(a, b, (x ^ y).bit_count()) for a, x in rows for b, y in rows if a < b and x and y and a != 4 and b != 4 and 0 < (x ^ y).bit_count() <= 6}
     assert got == want and (1, 2, 6) in got and (1, 7, 6) in got
+    # every key is crowded: the second keys give the same pairs
+    assert {tuple(r) for r in hashes.near_pairs(spark.createDataFrame(rows, "id long, fingerprint long"), "id", crowd=1).collect()} == want
+    classes = {r.id: (r.class_id, r.links, r.nearest_id, r.distance) for r in hashes.near_classes(spark.createDataFrame(rows, "id long, fingerprint long"), "id").collect()}
+    assert classes[1] == classes[4] == (1, 2, 2, 6) and classes[5] == (5, 0, None, None) and classes[3] == (3, 0, None, None)
     same = hashes.simhash(spark.createDataFrame([(1, "один два три четыре"), (2, "три один четыре два"), (3, None), (4, "")], "id long, t string"), "id", "t").collect()
     by = {r.id: r.fingerprint for r in same}
     assert by[1] == by[2] != 0 and by[3] == by[4] == 0
