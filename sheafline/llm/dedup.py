@@ -283,6 +283,9 @@ class HistoryIndex:
             others = written(met.filter("not active").select("bag").distinct().join(active.select("bag"), "bag", "left_anti"), "met-bags")
             words = words.unionByName(self._history("classes", others, "bag").filter("words is not null").select("bag", "n", "words"))
         crowded = met.filter(F.col("members") > self.crowd)
+        if crowded.isEmpty():
+            near = self._verified(written(self._candidates(met, met).distinct(), "candidates"), words)
+            return near.groupBy(F.col("bag_b").alias("bag")).agg(F.min("head_a").alias("near"))
         early = Window.partitionBy("key").orderBy("head", "bag")
         # the rank filter becomes a limit in each task before the rows of a key meet
         pivots = crowded.withColumn("r", F.row_number().over(early)).filter(F.col("r") <= self.crowd).drop("r")
