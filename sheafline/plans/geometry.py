@@ -130,7 +130,11 @@ def surest_lines(spark: SparkSession, root: str) -> DataFrame:
     return by.drop("key")
 
 
-@R.query()
+@R.query(
+    r"""WITH l AS (SELECT s3_fileid, page, line_no, line_id, text, regexp_replace(translate(lower(text), '⌀ø∅,−–—', 'ooo.---'), '[ \t\n\x0b\f\r]+', '', 'g') AS k FROM text_lines WHERE method = 'text_layer'),
+      n AS (SELECT *, row_number() OVER (PARTITION BY s3_fileid, page, k ORDER BY line_no NULLS FIRST, line_id) AS nth FROM l)
+    SELECT s3_fileid, arg_min(page, row(page, line_no, line_id)) AS page, arg_min(text, row(page, line_no, line_id)) AS text, arg_min(line_no, row(page, line_no, line_id)) AS line_no FROM n GROUP BY s3_fileid, k, nth"""
+)
 def merged_lines(spark: SparkSession, root: str) -> DataFrame:
     """Lines of a file's pages merged as multisets: repeated lines as often as the page that holds them most often."""
     df = table(spark, root, "text_lines").filter("method = 'text_layer'").select("s3_fileid", "page", "text", F.struct("line_no", "line_id").alias("position"))
@@ -171,7 +175,15 @@ def occupied_cells(spark: SparkSession, root: str) -> DataFrame:
     return sheets.cells(table(spark, root, "text_lines")).groupBy("s3_fileid", "page").agg(F.count("*").alias("cells"))
 
 
-@R.query()
+@R.query(
+    """WITH RECURSIVE g AS (SELECT DISTINCT s3_fileid, page, r, c FROM (SELECT s3_fileid, page, r, unnest(generate_series(c1, c2)) AS c FROM (SELECT s3_fileid, page, unnest(generate_series(r1, greatest(r1, r2))) AS r, c1, greatest(c1, c2) AS c2 FROM (
+      SELECT s3_fileid, page, least(49, greatest(0, floor(bbox.y1 * 50)))::INT AS r1, least(49, greatest(0, floor(bbox.y2 * 50)))::INT AS r2, least(49, greatest(0, floor(bbox.x1 * 50)))::INT AS c1, least(49, greatest(0, floor(bbox.x2 * 50)))::INT AS c2 FROM text_lines WHERE bbox IS NOT NULL)))),
+      s AS (SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM g o WHERE o.s3_fileid = g.s3_fileid AND o.page = g.page AND (o.r = g.r - 1 AND o.c = g.c OR o.r = g.r AND o.c = g.c - 1))),
+      t AS (SELECT s3_fileid, page, r, c, r * 50 + c AS root FROM s
+        UNION SELECT g.s3_fileid, g.page, g.r, g.c, t.root FROM t JOIN g ON g.s3_fileid = t.s3_fileid AND g.page = t.page AND abs(g.r - t.r) + abs(g.c - t.c) = 1),
+      m AS (SELECT s3_fileid, page, r, c, min(root) AS root FROM t GROUP BY ALL)
+    SELECT s3_fileid, page, (dense_rank() OVER (PARTITION BY s3_fileid, page ORDER BY root) - 1)::INTEGER AS component, cells::INTEGER AS cells, r1, c1, r2, c2 FROM (SELECT s3_fileid, page, root, count(*) AS cells, min(r) AS r1, min(c) AS c1, max(r) AS r2, max(c) AS c2 FROM m GROUP BY ALL)"""
+)
 def grid_components(spark: SparkSession, root: str) -> DataFrame:
     return sheets.components(sheets.cells(table(spark, root, "text_lines")))
 
