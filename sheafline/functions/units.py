@@ -31,4 +31,4 @@ def canonical(unit: Column) -> Column:
 
 
 def canonical_duration(unit: Column) -> Column:
-    return F.coalesce(lookup(F.rtrim(F.lit("."), F.lower(F.trim(unit))), DURATIONS), F.trim(unit))
+    return F.coalesce(lookup(F.rtrim(F.lower(F.trim(unit)), F.lit(".")), DURATIONS), F.trim(unit))

@@ -19,7 +19,7 @@ def ends_in_label(text: Column) -> Column:
     """Whether the last line of a text names something and stops: it ends with a colon or dash, or is nothing but an item number."""
     trimmed = F.rtrim(F.regexp_replace(text, r"\s+\z", ""))
     last = F.trim(F.substring_index(trimmed, "\n", -1))
-    bare = F.rtrim(F.lit("."), F.rtrim(F.lit(")"), last))
+    bare = F.rtrim(F.rtrim(last, F.lit(")")), F.lit("."))
     # an item number: up to three digits a level, closed by a period or bracket
     item = (bare != last) & (F.translate(bare, "0123456789.", "") == "") & ~F.exists(F.split(bare, r"\."), lambda x: ~F.length(x).between(1, 3))
     # a lone dash is no label

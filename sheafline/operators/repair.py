@@ -9,6 +9,7 @@ import difflib
 import json
 import re
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import product
 
 import pandas as pd
@@ -32,6 +33,16 @@ def readings(word: str) -> list[str]:
     return ["".join(p) for p in product(*options)] if n <= MOST_READINGS else [word]
 
 
+def pure_readings(word: str) -> list[str]:
+    """The readings of a word in one alphabet: two at most, whatever its length."""
+    out = []
+    for looks, own in ((LOOKS_BACK, "[A-Za-z]"), (LOOKS, "[А-Яа-яЁё]")):
+        r = "".join(c if re.match(own, c) else looks.get(c, c) for c in word)
+        if one_alphabet(r) and re.search(own, r):
+            out.append(r)
+    return out
+
+
 def one_alphabet(word: str) -> bool:
     return not (re.search("[A-Za-z]", word) and re.search("[А-Яа-яЁё]", word))
 
@@ -43,7 +54,7 @@ def mixed_words(text: str, vocabulary: frozenset[str]) -> str:
         w = m[0]
         if one_alphabet(w):
             return w
-        pure = [r for r in readings(w) if one_alphabet(r)]
+        pure = pure_readings(w)
         known = [r for r in pure if r.lower() in vocabulary]
         return known[0] if len(known) == 1 else pure[0] if len(pure) == 1 else w
 
@@ -78,14 +89,20 @@ def dimensions(text: str) -> str:
     return re.sub(r"10([⁻⁺]?[⁰¹²³⁴⁵⁶⁷⁸⁹]+)", lambda m: f"10^{m[1].translate(SUPER)}", t)
 
 
+@lru_cache(16)
+def longest_word(vocabulary: frozenset[str]) -> int:
+    return max(map(len, vocabulary), default=0)
+
+
 def split_glued(token: str, vocabulary: frozenset[str], least: int = 2) -> list[str]:
     """A glued token as the fewest vocabulary words that make it up (longer first words on a tie); the token itself if there are none."""
     low, n = token.lower(), len(token)
     if low in vocabulary or n < 2 * least:
         return [token]
+    most = longest_word(vocabulary)
     best: list[tuple[int, int] | None] = [(0, 0)] + [None] * n
     for end in range(1, n + 1):
-        for start in range(max(0, end - 30), end):
+        for start in range(max(0, end - most), end):
             before = best[start]
             if before is not None and end - start >= least and low[start:end] in vocabulary:
                 cand = (before[0] + 1, start)

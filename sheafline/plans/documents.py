@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafline.functions import hashes as H
@@ -39,11 +39,12 @@ def latest_fragments(spark: SparkSession, root: str) -> DataFrame:
 )
 def fragment_runs(spark: SparkSession, root: str) -> DataFrame:
     """Consecutive fragments of one type on one page (gaps and islands)."""
-    df = latest(table(spark, root, "fragments")).select("fragment_no", "s3_fileid", "fragment_type", F.col("position.page").alias("page"), F.col("position.order").alias("ord"))
-    w = Window.partitionBy("s3_fileid").orderBy("ord", "fragment_no")
-    same = (F.lag("fragment_type").over(w) == F.col("fragment_type")) & F.lag("page").over(w).eqNullSafe(F.col("page"))
-    runs = df.withColumn("fresh", F.when(same, 0).otherwise(1)).withColumn("run", F.sum("fresh").over(w))
-    return runs.groupBy("s3_fileid", "run").agg(F.min("fragment_type").alias("fragment_type"), F.count("*").alias("fragments"), F.min("ord").alias("first_order"), F.max("ord").alias("last_order"))
+    # the order within a file and the fragment's number as one whole number; rows without an order come last, as in the SQL
+    place = F.coalesce(F.col("position.order").cast("long"), F.lit((1 << 31) - 1)) * (1 << 32) + F.col("fragment_no")
+    df = latest(table(spark, root, "fragments")).select("s3_fileid", place.alias("place"), "fragment_type", F.col("position.page").alias("page"))
+    runs = ranks.runs(df, "s3_fileid", "place", ["fragment_type", "page"], width=1 << 40)
+    order = lambda c: F.nullif(F.shiftright(c, 32).cast("int"), F.lit((1 << 31) - 1))
+    return runs.select("s3_fileid", "run", "fragment_type", F.col("rows").alias("fragments"), order("first_order").alias("first_order"), order("last_order").alias("last_order"))
 
 
 @R.query(
@@ -186,8 +187,8 @@ def normalized_hash(spark: SparkSession, root: str) -> DataFrame:
 def page_report(spark: SparkSession, root: str) -> DataFrame:
     """Pages read and missing of each file, and the read ones as ranges such as 1-3,5."""
     pages = table(spark, root, "fragments").select("s3_fileid", F.col("position.page").alias("page")).filter("page > 0").distinct()
-    g = F.col("page") - F.row_number().over(Window.partitionBy("s3_fileid").orderBy("page"))
-    spans = pages.withColumn("g", g).groupBy("s3_fileid", "g").agg(F.min("page").alias("a"), F.max("page").alias("b"), F.count("*").alias("n"))
+    g = F.col("page") - F.col("n")
+    spans = ranks.numbered(pages, "s3_fileid", "page", width=1000).withColumn("g", g).groupBy("s3_fileid", "g").agg(F.min("page").alias("a"), F.max("page").alias("b"), F.count("*").alias("n"))
     text = F.when(F.col("a") == F.col("b"), F.col("a").cast("string")).otherwise(F.concat_ws("-", "a", "b"))
     by = spans.withColumn("t", text).groupBy("s3_fileid").agg(F.sum("n").alias("pages"), F.max("b").alias("last_page"), F.expr("listagg(t, ',') within group (order by a)").alias("ranges"))
     return by.select("s3_fileid", "pages", "last_page", (F.col("last_page") - F.col("pages")).alias("missing"), "ranges")

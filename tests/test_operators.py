@@ -67,6 +67,8 @@ def test_columns(spark):
     assert [r[0] for r in n] == [1200.5, -3.0, None, None]
     u = spark.createDataFrame([("МПа",), (" кг ",), ("foo",), (None,)], "t string").select(units.canonical(F.col("t"))).collect()
     assert [r[0] for r in u] == ["MPa", "kg", "foo", None]
+    d = spark.createDataFrame([("Сут.",), ("мин",), ("foo.",), (None,)], "t string").select(units.canonical_duration(F.col("t"))).collect()
+    assert [r[0] for r in d] == ["d", "min", "foo.", None]
 
 
 def test_simhash_pairs(spark):
@@ -130,3 +132,54 @@ def test_table_completeness_reads_inner_tags_and_knows_headers_only(spark):
     df = spark.createDataFrame([(i, h) for i, h in enumerate(html)], "i int, h string")
     got = [tuple(r)[1:] for r in df.select("i", *tables.completeness(df.h)).orderBy("i").collect()]
     assert got == [(4, 3, 0.75), (2, 2, 0.5), (1, 0, 0.0), (0, 0, 0.0), (1, 1, 1.0)]
+
+
+def test_runs_within_a_key(spark):
+    import itertools
+    import random
+
+    rng = random.Random(2)
+    rows = [("hot" if rng.random() < 0.8 else "cold", i, rng.choice("ab"), rng.choice([1, None])) for i in range(120)]
+    want = set()
+    for key in ("hot", "cold"):
+        mine = [r for r in rows if r[0] == key]
+        for n, (_, part) in enumerate(itertools.groupby(mine, key=lambda r: r[2:]), 1):
+            part = list(part)
+            want.add((key, n, len(part), part[0][1], part[-1][1], part[0][2], part[0][3]))
+    got = ranks.runs(spark.createDataFrame(rows, "k string, o long, a string, b int"), "k", "o", ["a", "b"], width=7).collect()
+    assert {tuple(r) for r in got} == want
+    assert ranks.runs(spark.createDataFrame([], "k string, o long, a string"), "k", "o", ["a"]).count() == 0
+
+
+def test_clusters_without_a_shared_folder_are_refused(spark):
+    from sheafline import session
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: Cluster.conf)
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Cluster)
+
+
+def test_headings_and_labels(spark):
+    heads = ["1. Введение", "2.3 Насосы и валы", "Глава 2", "ОПОРЫ И ВАЛЫ", "Имеется следующее:"]
+    plain = ["1. введение в курс", "обычная строка", "Насос. Он качает:", "", "x" * 201, "12"]
+    df = spark.createDataFrame([(t,) for t in heads + plain], "t string")
+    assert [r[0] for r in df.select(texts.is_header(F.col("t"))).collect()] == [True] * len(heads) + [False] * len(plain)
+    labels = ["Имеется:", "a\nв составе —", "текст\n4.1.", "2) ", "12.3)"]
+    none = ["текст", "4.1", "1234.", "текст:\nдалее", "—"]
+    df = spark.createDataFrame([(t,) for t in labels + none], "t string")
+    assert [r[0] for r in df.select(parts.ends_in_label(F.col("t"))).collect()] == [True] * len(labels) + [False] * len(none)
+    assert chunking.is_header("Глава 1 Насосы") and chunking.is_header("2.1. Насосы") and chunking.is_header("ОБЩИЕ ПОЛОЖЕНИЯ") and not chunking.is_header("обычный текст") and not chunking.is_header("ГОСТ")
+
+
+def test_comparison_words_are_words():
+    assert one("Мотор отдаёт домкрату 5 кг")[0][5] == "=" and one("масса до 5 кг")[0][5] == "<=" and one("не должна превышать 7 мм")[0][5] == "<="
+    assert one("более 5 мм")[0][5] == "=" and one("t < 5 мм")[0][5] == "<" and one("макс ≥ 5 мм")[0][5] == ">="
+    assert one("5-10 ±1 мм")[-1][2:4] == (9.0, 11.0) and one("от 1 000 до 2 000,5 кг") == [("range", None, 1000.0, 2000.5, "kg", "range", "")]
+    assert one("DN55 и 3…5 мм")[-1] == ("range", None, 3.0, 5.0, "mm", "range", "")

@@ -78,3 +78,10 @@ def test_transcripts(spark):
     got = sheets.transcript_runs(lines, frags).collect()
     assert [(r.fragment_no, r.first_line, r.lines) for r in got] == [(7, 1, 2)]
     assert sheets.transcript_runs(lines.limit(0), frags).count() == 0
+
+
+def test_long_words_have_two_readings_and_long_pieces():
+    long = "аеосрхухaeocpxyx" * 4
+    assert len(repair.pure_readings(long)) == 2 and repair.mixed_words("насос" * 9 + "o", frozenset(["насос" * 9 + "о"])) == "насос" * 9 + "о"
+    piece = "а" * 40
+    assert repair.split_glued(piece + "вал", frozenset([piece, "вал"])) == [piece, "вал"]
