@@ -128,7 +128,8 @@ def mangled_prose(text: str) -> str:
         return text
     t = re.sub(r"\\(?:text|mathrm|mathit|mathbf|operatorname|mathsf)\s*\{([^{}]*)\}", lambda m: " " + (m[1].replace(" ", "").replace("~", " ") if re.fullmatch(r"\s*(?:\S\s+)+\S?\s*", m[1]) else m[1]) + " ", text)
     t = re.sub(r"\\[;,: !]|\\q?quad|~", " ", t)
-    return t if "\\" in t else " ".join(t.split())
+    t = re.sub(r"\{\s*\\(?:bf|it|rm|sf|tt|sc|em|cal|boldmath)(?![A-Za-z])([^{}]*)\}", r" \1 ", t)
+    return text if "\\" in t else " ".join(t.split())
 
 
 def salvage_json(text: str | None) -> str | None:
