@@ -361,7 +361,7 @@ def ingested(files: DataFrame, loads: int, **parameters) -> DataFrame:
 
 
 #: Loads that the query makes of the batches: the first fills the history, the others probe it.
-LOADS = 4
+LOADS = 3
 
 
 def found(files: DataFrame) -> DataFrame:
