@@ -182,7 +182,7 @@ def occupied_cells(spark: SparkSession, root: str) -> DataFrame:
       t AS (SELECT s3_fileid, page, r, c, r * 50 + c AS root FROM s
         UNION SELECT g.s3_fileid, g.page, g.r, g.c, t.root FROM t JOIN g ON g.s3_fileid = t.s3_fileid AND g.page = t.page AND abs(g.r - t.r) + abs(g.c - t.c) = 1),
       m AS (SELECT s3_fileid, page, r, c, min(root) AS root FROM t GROUP BY ALL)
-    SELECT s3_fileid, page, (dense_rank() OVER (PARTITION BY s3_fileid, page ORDER BY root) - 1)::INTEGER AS component, cells::INTEGER AS cells, r1, c1, r2, c2 FROM (SELECT s3_fileid, page, root, count(*) AS cells, min(r) AS r1, min(c) AS c1, max(r) AS r2, max(c) AS c2 FROM m GROUP BY ALL)"""
+    SELECT s3_fileid, page, (dense_rank() OVER (PARTITION BY s3_fileid, page ORDER BY root) - 1)::INTEGER AS component, cells::INTEGER AS cells, r1::INTEGER AS r1, c1::INTEGER AS c1, r2::INTEGER AS r2, c2::INTEGER AS c2 FROM (SELECT s3_fileid, page, root, count(*) AS cells, min(r) AS r1, min(c) AS c1, max(r) AS r2, max(c) AS c2 FROM m GROUP BY ALL)"""
 )
 def grid_components(spark: SparkSession, root: str) -> DataFrame:
     return sheets.components(sheets.cells(table(spark, root, "text_lines")))
