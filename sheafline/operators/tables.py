@@ -103,11 +103,16 @@ def markdown_tables(text: str) -> list[tuple[list[str], list[list[str]]]]:
     return out
 
 
-def completeness(table_html: Column) -> list[Column]:
-    """``cells``, ``filled`` and ``completeness`` of a table; a cell ends where it, its row or the table is closed or the next one begins."""
+def cell_texts(table_html: Column) -> Column:
+    """The texts of a table's cells, without what tags stand in them; a cell ends where it, its row or the table is closed or the next one begins."""
     bodies = F.regexp_extract_all(table_html, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)(?=</?(?:t[dhr]|thead|tbody|tfoot|table)\b|\z)"), F.lit(1))
-    texts = F.transform(bodies, lambda x: F.trim(F.regexp_replace(x, r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>", "")))
-    filled, n = F.size(F.filter(texts, lambda x: x != "")), F.size(bodies)
+    return F.transform(bodies, lambda x: F.trim(F.regexp_replace(x, r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>", "")))
+
+
+def completeness(table_html: Column) -> list[Column]:
+    """``cells``, ``filled`` and ``completeness`` of a table."""
+    texts = cell_texts(table_html)
+    filled, n = F.size(F.filter(texts, lambda x: x != "")), F.size(texts)
     share = F.when(n == 0, F.lit(0.0)).when(~table_html.rlike(r"(?i)<td\b"), F.when(filled > 0, 0.5).otherwise(0.0)).otherwise(filled / n)
     return [n.alias("cells"), filled.alias("filled"), F.round(share, 3).alias("completeness")]
 

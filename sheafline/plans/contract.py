@@ -174,13 +174,13 @@ def row_segments(spark: SparkSession, root: str) -> DataFrame:
 
 
 @R.query(
-    """WITH l AS (SELECT s3_fileid, page, lower(regexp_extract(text, '^[ ]*([^:]{2,40}):', 1)) AS label, trim(regexp_extract(text, '^[ ]*[^:]{2,40}:(.*)$', 1)) AS value, bbox.x1 >= 0.5 AND bbox.y1 >= 0.7 AS stamp, line_id FROM text_lines)
+    """WITH l AS (SELECT s3_fileid, page, lower(regexp_extract(text, '^[ ]*([\\p{L}][\\p{L} .]+):', 1)) AS label, trim(regexp_extract(text, '^[ ]*[\\p{L}][\\p{L} .]+:(.*)$', 1)) AS value, bbox.x1 >= 0.5 AND bbox.y1 >= 0.7 AS stamp, line_id FROM text_lines)
     SELECT s3_fileid, page, label, arg_min(value, (NOT coalesce(stamp, FALSE), line_id)) AS value, count(*) AS seen, coalesce(bool_or(stamp), FALSE) AS from_stamp FROM l WHERE label <> '' AND value <> '' GROUP BY ALL"""
 )
 def merged_title_fields(spark: SparkSession, root: str) -> DataFrame:
     """Labelled values of a sheet: those of the title block (bottom right) win over those elsewhere."""
     df = table(spark, root, "text_lines").select(
-        "s3_fileid", "page", "line_id", F.lower(F.regexp_extract("text", "^[ ]*([^:]{2,40}):", 1)).alias("label"), F.trim(F.regexp_extract("text", "^[ ]*[^:]{2,40}:(.*)$", 1)).alias("value"),
+        "s3_fileid", "page", "line_id", F.lower(F.regexp_extract("text", "^[ ]*([\\p{L}][\\p{L} .]+):", 1)).alias("label"), F.trim(F.regexp_extract("text", "^[ ]*[\\p{L}][\\p{L} .]+:(.*)$", 1)).alias("value"),
         F.coalesce((F.col("bbox.x1") >= 0.5) & (F.col("bbox.y1") >= 0.7), F.lit(False)).alias("stamp"),
     )
     own = df.filter("label <> '' and value <> ''")

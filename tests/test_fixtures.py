@@ -23,12 +23,17 @@ def root(tmp_path_factory):
         (1, "f", 1, 1, "⌀20 − 5", "text_layer", box(0.1, 0.1)), (2, "f", 1, 2, "ø20–5", "tesseract", box(0.1, 0.2)), (3, "f", 1, 3, "⌀20 − 5", "tesseract", box(0.1, 0.3)),
         (4, "f", 1, 4, "Масса: 5 кг", "tesseract", box(0.1, 0.5)), (5, "f", 1, 5, "масса: 7 кг", "tesseract", box(0.6, 0.8)), (6, "f", 1, 6, "Лист: 3", "tesseract", None), (7, "f", 2, 1, "Масса: 9", "tesseract", box(0.1, 0.1)),
         (8, "f", 3, 1, "Ra 3,2", "tesseract", box(0.30, 0.30)), (9, "f", 3, 2, " ra 3,2 ", "tesseract", box(0.32, 0.31)), (10, "f", 3, 3, "Ra 3,2", "tesseract", box(0.5, 0.3)), (11, "f", 3, 4, "Ra 3,2", "tesseract", box(0.345, 0.31)),
-        (12, "f", 4, 1, "слева", "tesseract", box(0.1, 0.5)), (13, "f", 4, 1, "рядом", "tesseract", box(0.31, 0.5)), (14, "f", 4, 1, "далеко", "tesseract", box(0.7, 0.5)), (15, "g", 1, 1, None, "tesseract", None), (16, "g", 1, 1, "", "text_layer", box(0, 0)),
+        (12, "f", 4, 1, "слева", "tesseract", box(0.1, 0.5)), (13, "f", 4, 1, "рядом", "tesseract", box(0.31, 0.5)), (14, "f", 4, 1, "далеко", "tesseract", box(0.7, 0.5)), (20, "h", 1, 1, "Разраб. Петрова И.К. 12.03.2024", "tesseract", None), (21, "h", 1, 2, "Checked Smith", "tesseract", None), (22, "h", 1, 3, "Утверждаю", "tesseract", None),
+        (23, "h", 1, 4, "насос ||-- вал == 5", "tesseract", None), (24, "h", 1, 5, "Вид А", "tesseract", None), (25, "h", 1, 6, "Б-Б (1:2)", "tesseract", None), (26, "h", 1, 7, "А", "tesseract", None), (27, "h", 1, 8, "разрез В-В", "text_layer", None),
+        (15, "g", 1, 1, None, "tesseract", None), (16, "g", 1, 1, "", "text_layer", box(0, 0)),
     ]
     columns = list(zip(*lines, strict=True))
     names = ("line_id", "s3_fileid", "page", "line_no", "text", "method")
     data = {n: pa.array(c, pa.int64() if n == "line_id" else pa.int32() if n in ("page", "line_no") else pa.string()) for n, c in zip(names, columns[:6], strict=True)}
     pq.write_table(pa.table(data | {"bbox": pa.array(columns[6], BOX)}), folder / "text_lines.parquet")
+    cell = lambda *texts: "<table><tr>" + "".join(f"<td>{t}</td>" for t in texts) + "</tr></table>"
+    tables = [cell("Разраб.", "Петрова", "Лист 1", "Масса", "<b>Масштаб</b>", "1:2"), cell("насос", "лист", "5", "вал"), cell(), None]
+    pq.write_table(pa.table({"fragment_no": [1, 2, 3, 4], "structured_payload": pa.array([{"table_html": t} for t in tables], pa.struct([("table_html", pa.string())]))}), folder / "fragments.parquet")
     return str(folder)
 
 
@@ -39,6 +44,10 @@ WANT = {
     "merged_title_fields": (("page", "label", "value", "seen", "from_stamp"), {(1, "масса", "7 кг", 2, True), (1, "лист", "3", 1, False), (2, "масса", "9", 1, False)}),
     "merged_annotations": (("line_id",), {(8,), (10,), (1,)}),
     "row_segments": (("page", "segment", "lines"), {(4, 1, 2), (4, 2, 1)}),
+    "title_signers": (("line_id", "role", "name", "signed"), {(20, "разраб", "Петрова", "12.03.2024"), (21, "checked", "Smith", None)}),
+    "junk_free_lines": (("line_id", "text", "dropped"), {(23, "насос вал 5", 2), (24, "Вид А", 0)}),
+    "view_titles": (("line_id", "view_name", "kind", "scale"), {(24, "А", "view", None), (25, "Б-Б", "section", "1:2"), (27, "В-В", "section", None)}),
+    "stamp_tables": (("fragment_no", "cells", "labels", "stamp"), {(1, 6, 4, True), (2, 4, 1, False), (3, 0, 0, False)}),
     "reconciled_kinds": (("change_id", "kind", "confidence"), {(8, "radius", 0.6), (9, "size", 0.9), (3, "note", 0.5)}),
 }
 
