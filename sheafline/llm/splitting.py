@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafline.operators.facts import slices
+
 REACH = 120
 TOKEN = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]")
 BREAKS = (regex.compile(r"(?:\r\n|\r|\n)[ \t]*(?:\r\n|\r|\n)\s*"), regex.compile(r"(?:\r\n|\r|\n)\s*"), regex.compile(r"[.!?…;]['\"»”)\]]*\s+"), regex.compile(r"\s+"))
@@ -147,11 +149,9 @@ def split_units(units: DataFrame, limits: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for no, text, size, over, unit in pdf.itertuples(index=False):
-                spans = split(text, int(size), int(over), unit)
-                out.extend((no, i, len(spans), a, b, text[a:b]) for i, (a, b) in enumerate(spans))
-            yield pd.DataFrame(out, columns=["unit_no", "piece", "pieces", "char_start", "char_end", "text"])
+            cut = ((no, text, split(text, int(size), int(over), unit)) for no, text, size, over, unit in pdf.itertuples(index=False))
+            rows = ((no, i, len(spans), a, b, text[a:b]) for no, text, spans in cut for i, (a, b) in enumerate(spans))
+            yield from slices(rows, ["unit_no", "piece", "pieces", "char_start", "char_end", "text"])
 
     sized = with_limits(units.select("unit_no", "profile", "text"), limits).filter("unit_no is not null and text is not null and max_size is not null")
     return sized.select("unit_no", "text", "max_size", F.coalesce("overlap", F.lit(0)).alias("overlap"), "unit").mapInPandas(run, "unit_no long, piece int, pieces int, char_start int, char_end int, text string")
