@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafline.operators.facts import slices
+
 SIZE, OVERLAP, LEAST = 500, 50, 30
 #: How far back a cut looks for the end of a sentence.
 REACH = 120
@@ -109,14 +111,28 @@ def chunk_text(text: str, strategy: str, size: int = SIZE, overlap: int = OVERLA
     raise ValueError(f"unknown chunking strategy {strategy!r}; there are fixed, paragraph, semantic")
 
 
+STRATEGIES = ("fixed", "paragraph", "semantic")
+# The strategy of a kind of document, and of a source, where none is named.
+BY_TYPE, BY_SOURCE = {"regulation": "semantic", "manual": "semantic", "letter": "paragraph", "table": "fixed"}, {"tesseract": "paragraph", "text_layer": "semantic"}
+
+
+def strategy_of(explicit: str | None = None, doc_type: str | None = None, source: str | None = None) -> str:
+    """The strategy that is named, else that of the document's type, else of its source, else paragraphs; an unknown name raises."""
+    if explicit is not None:
+        if explicit not in STRATEGIES:
+            raise ValueError(f"unknown chunking strategy {explicit!r}; there are {', '.join(STRATEGIES)}")
+        return explicit
+    return BY_TYPE.get(doc_type or "") or BY_SOURCE.get(source or "") or "paragraph"
+
+
 def chunks(df: DataFrame, id_col: str, text: str, strategy: str, size: int = SIZE, overlap: int = OVERLAP, least: int = LEAST) -> DataFrame:
     """(id, chunk, char_start, char_end, section, text). Null and blank texts give no rows; an unknown strategy raises at once."""
     chunk_text("", strategy)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(i, n, a, b, s, t[a:b].strip()) for i, t in zip(pdf["id"], pdf["text"], strict=True) for n, (a, b, s) in enumerate(chunk_text(t, strategy, size, overlap, least))]
-            yield pd.DataFrame(out, columns=[id_col, "chunk", "char_start", "char_end", "section", "text"])
+            rows = ((i, n, a, b, s, t[a:b].strip()) for i, t in zip(pdf["id"], pdf["text"], strict=True) for n, (a, b, s) in enumerate(chunk_text(t, strategy, size, overlap, least)))
+            yield from slices(rows, [id_col, "chunk", "char_start", "char_end", "section", "text"])
 
     source = df.select(F.col(id_col).alias("id"), F.col(text).alias("text")).filter("text is not null")
     kind = dict(df.dtypes)[id_col]

@@ -6,6 +6,7 @@ counts where a marker of a category that a designation yields to, or a ``bars``
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -63,31 +64,41 @@ def counted(text: Column, signs: tuple[Sign, ...] = SIGNS) -> Column:
     return F.array(*[F.least(F.regexp_count(text, F.lit(s.pattern)), F.lit(COUNT_CAP)) for s in signs])
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def match(counts: Column, allowed: tuple[str, ...] = CATEGORIES, signs: tuple[Sign, ...] = SIGNS) -> Column:
     """struct(category, confidence, score, hits) from the counts of ``counted``; category null if nothing matches."""
-    n = {i: F.get(counts, F.lit(i)) for i in range(len(signs))}
-
-    def found(keep) -> Column:
-        hit = F.lit(False)
-        for i, s in enumerate(signs):
-            if keep(s):
-                hit = hit | (n[i] > 0)
-        return hit
-
-    open_group = found(lambda s: s.role == "base") & ~found(lambda s: s.category in YIELDS or s.role == "bars")
-    value: dict[int, Column] = {}
-    for i, s in enumerate(signs):
-        counts_here = (n[i] > 0) & open_group if s.role in ("base", "group") else n[i] > 0
-        value[i] = F.when(counts_here, s.weight * F.least(F.lit(REPEAT_CAP), 1.0 + F.log2(n[i]))).otherwise(F.lit(0.0))
-    totals = []
-    for rank, c in enumerate(x for x in CATEGORIES if x in allowed):
-        mine = [value[i] for i, s in enumerate(signs) if s.category == c]
-        hits = [F.when(v > 0, 1).otherwise(0) for v in mine]
-        totals.append(F.struct(F.round(sum(mine[1:], mine[0]), 9).alias("score"), F.lit(-rank).alias("rank"), F.lit(c).alias("category"), sum(hits[1:], hits[0]).alias("hits")))
-    ranked = F.sort_array(F.array(*totals), asc=False)
-    best, second = ranked[0], ranked[1]["score"]
-    confidence = F.round(F.least(F.lit(0.95), 0.45 + 0.40 * (best["score"] - second) / best["score"] + 0.05 * F.least(best["hits"], F.lit(3))), 3)
-    return F.when(best["score"] > 0, F.struct(best["category"].alias("category"), confidence.alias("confidence"), best["score"].alias("score"), best["hits"].alias("hits")))
+    categories = [c for c in CATEGORIES if c in allowed]
+
+    def any_of(n: Column, keep: Callable[[Sign], bool]) -> Column:
+        return F.arrays_overlap(F.array(F.lit(True)), F.array(*[F.get(n, F.lit(i)) > 0 for i, s in enumerate(signs) if keep(s)]))
+
+    def values(n: Column) -> Column:
+        opened = any_of(n, lambda s: s.role == "base") & ~any_of(n, lambda s: s.category in YIELDS or s.role == "bars")
+
+        def worth(i: int, s: Sign, o: Column) -> Column:
+            k = F.get(n, F.lit(i))
+            return F.when((k > 0) & o if s.role in ("base", "group") else k > 0, s.weight * F.least(F.lit(REPEAT_CAP), 1.0 + F.log2(k))).otherwise(F.lit(0.0))
+
+        return bound(opened, lambda o: F.array(*[worth(i, s, o) for i, s in enumerate(signs)]))
+
+    def totals(v: Column) -> Column:
+        out = []
+        for rank, c in enumerate(categories):
+            mine = [F.get(v, F.lit(i)) for i, s in enumerate(signs) if s.category == c]
+            hits = [F.when(x > 0, 1).otherwise(0) for x in mine]
+            out.append(F.struct(F.round(sum(mine[1:], mine[0]), 9).alias("score"), F.lit(-rank).alias("rank"), F.lit(c).alias("category"), sum(hits[1:], hits[0]).alias("hits")))
+        return F.sort_array(F.array(*out), asc=False)
+
+    def verdict(ranked: Column) -> Column:
+        best, second = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))["score"]
+        confidence = F.round(F.least(F.lit(0.95), 0.45 + 0.40 * (best["score"] - second) / best["score"] + 0.05 * F.least(best["hits"], F.lit(3))), 3)
+        return F.when(best["score"] > 0, F.struct(best["category"].alias("category"), confidence.alias("confidence"), best["score"].alias("score"), best["hits"].alias("hits")))
+
+    return bound(bound(values(counts), totals), verdict)
 
 
 def sql_match(table: str, key: str, text: str, allowed: tuple[str, ...] = CATEGORIES, signs: tuple[Sign, ...] = SIGNS) -> str:

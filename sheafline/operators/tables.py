@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import difflib
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -117,6 +118,44 @@ def completeness(table_html: Column) -> list[Column]:
     return [n.alias("cells"), filled.alias("filled"), F.round(share, 3).alias("completeness")]
 
 
+def match_cells(cells: list[str], lines: list[str], least: float = 0.85) -> list[tuple[int, int, float]]:
+    """(cell, line, ratio): cells with the line that says the same, the most alike first, each cell and line once. Equal ratios go to the earlier cell and line."""
+    bare = [["".join(t.lower().split()) for t in side] for side in (cells, lines)]
+    pairs = []
+    for i, a in enumerate(bare[0]):
+        for j, b in enumerate(bare[1]):
+            # the ratio cannot exceed twice the shorter length over both
+            if a and b and 2 * min(len(a), len(b)) >= least * (len(a) + len(b)) and (r := difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()) >= least:
+                pairs.append((-r, i, j))
+    out, taken_cells, taken_lines = [], set(), set()
+    for r, i, j in sorted(pairs):
+        if i not in taken_cells and j not in taken_lines:
+            taken_cells.add(i)
+            taken_lines.add(j)
+            out.append((i, j, round(-r, 6)))
+    return sorted(out)
+
+
+def cell_lines(fragments: DataFrame, lines: DataFrame) -> DataFrame:
+    """(fragment_no, cell, line_id, ratio, before, after): cells of tables that a line of their page says otherwise, to be taken from the line.
+
+    ``fragments``: fragment_no, s3_fileid, position.page, structured_payload.table_html; ``lines``: line_id, s3_fileid, page, text. A page's lines are gathered as one array, bounded by
+    the page; tables and pages without a partner give no rows.
+    """
+    page = lines.filter("text is not null").groupBy("s3_fileid", "page").agg(F.sort_array(F.collect_list(F.struct("line_id", "text"))).alias("l"))
+    cells = fragments.filter("structured_payload.table_html is not null").select("fragment_no", "s3_fileid", F.col("position.page").alias("page"), cell_texts(F.col("structured_payload.table_html")).alias("c"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for no, c, l in zip(pdf["fragment_no"], pdf["c"], pdf["l"], strict=True):
+                texts = [x["text"] for x in l]
+                out += [(no, i, l[j]["line_id"], r, c[i], texts[j]) for i, j, r in match_cells(list(c), texts) if c[i] != texts[j].strip()]
+            yield pd.DataFrame(out, columns=["fragment_no", "cell", "line_id", "ratio", "before", "after"])
+
+    return cells.join(page, ["s3_fileid", "page"]).select("fragment_no", "c", "l").mapInPandas(run, "fragment_no long, cell int, line_id long, ratio double, before string, after string")
+
+
 def grids(df: DataFrame, table_html: str) -> DataFrame:
     """The other columns with headers and rows of the table in ``table_html``; null tables give no rows."""
     keep = [c for c in df.columns if c not in (table_html, "headers", "rows")]

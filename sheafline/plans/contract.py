@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sheafline.functions import hashes as H
 from sheafline.functions import texts as X
 from sheafline.operators import fields, ranks, sheets
+from sheafline.plans import documents
 from sheafline.plans.documents import _BASE, _LATEST, _SIGN, _UNITS, latest, signature
 from sheafline.plans.geometry import _KINDS
 from sheafline.plans.registry import Registry
@@ -185,3 +186,48 @@ def merged_title_fields(spark: SparkSession, root: str) -> DataFrame:
     )
     own = df.filter("label <> '' and value <> ''")
     return own.groupBy("s3_fileid", "page", "label").agg(F.min_by("value", F.struct(~F.col("stamp"), F.col("line_id"))).alias("value"), F.count("*").alias("seen"), F.max("stamp").alias("from_stamp"))
+
+
+@R.query(
+    f"""WITH l AS (SELECT s3_fileid, position.page AS page, length(text) AS n, confidence, coalesce(method, '?') AS method, position.bbox AS b FROM {_LATEST} WHERE fragment_type = 'text' AND length(text) > 0),
+      m AS (SELECT s3_fileid, page, method, sum(n) AS chars FROM l GROUP BY ALL)
+    SELECT l.s3_fileid, l.page, count(*) AS fragments, sum(n)::BIGINT AS chars, round(sum(confidence * n) / sum(n) FILTER (WHERE confidence IS NOT NULL), 6) AS confidence, any_value(k.method) AS method, min(b.x1) AS x1, min(b.y1) AS y1, max(b.x2) AS x2, max(b.y2) AS y2
+    FROM l JOIN (SELECT s3_fileid, page, arg_max(method, row(chars, method)) AS method FROM m GROUP BY ALL) k ON k.s3_fileid = l.s3_fileid AND k.page IS NOT DISTINCT FROM l.page GROUP BY l.s3_fileid, l.page"""
+)
+def chunk_profiles(spark: SparkSession, root: str) -> DataFrame:
+    """A page's texts as one chunk: confidence weighted by length, the method that gave most characters, the union of the boxes."""
+    df = latest(table(spark, root, "fragments")).filter("fragment_type = 'text' and length(text) > 0").select("s3_fileid", F.col("position.page").alias("page"), F.length("text").alias("n"), "confidence", F.coalesce("method", F.lit("?")).alias("method"), F.col("position.bbox").alias("b"))
+    # by method first: the second aggregation sees few rows
+    sums = [F.count("*").alias("fragments"), F.sum("n").alias("chars"), F.sum(F.col("confidence") * F.col("n")).alias("s"), F.sum(F.when(F.col("confidence").isNotNull(), F.col("n"))).alias("w"), F.min("b.x1").alias("x1"), F.min("b.y1").alias("y1"), F.max("b.x2").alias("x2"), F.max("b.y2").alias("y2")]
+    by = df.groupBy("s3_fileid", "page", "method").agg(*sums)
+    out = by.groupBy("s3_fileid", "page").agg(
+        F.sum("fragments").alias("fragments"), F.round(F.sum("s") / F.sum("w"), 6).alias("confidence"), F.max_by("method", F.struct("chars", "method")).alias("method"), F.sum("chars").alias("chars"), F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2")
+    )
+    return out.select("s3_fileid", "page", "fragments", "chars", "confidence", "method", "x1", "y1", "x2", "y2")
+
+
+_RECALL, _COVER = documents.R.sql["layer_recall"], documents.R.sql["page_coverage"]
+
+
+@R.query(f"SELECT c.s3_fileid, c.page, coalesce(r.recall, c.coverage)::DOUBLE AS completeness, CASE WHEN r.recall IS NULL THEN 'coverage' ELSE 'recall' END AS measure FROM ({_COVER}) c LEFT JOIN ({_RECALL}) r ON r.s3_fileid = c.s3_fileid AND r.page = c.page")
+def text_completeness(spark: SparkSession, root: str) -> DataFrame:
+    """How complete a page's text is: measured against its text layer where it has one, else by the area that its blocks cover."""
+    cover, recall = documents.page_coverage(spark, root).select("s3_fileid", "page", "coverage"), documents.layer_recall(spark, root).select("s3_fileid", "page", "recall")
+    df = cover.join(recall, ["s3_fileid", "page"], "left")
+    return df.select("s3_fileid", "page", F.coalesce("recall", "coverage").alias("completeness"), F.when(F.col("recall").isNull(), "coverage").otherwise("recall").alias("measure"))
+
+
+@R.query(
+    f"""SELECT fragment_no, coalesce(len(position.source_spans), 0)::INTEGER AS spans, coalesce(len(list_distinct(list_transform(position.source_spans, lambda s: s.source_unit_id))), 0)::INTEGER AS units,
+      array_to_string(list_filter(['no_source', 'inexact', 'unordered', 'empty_span'], lambda w: CASE w WHEN 'no_source' THEN coalesce(len(position.source_spans), 0) = 0 WHEN 'inexact' THEN coalesce(NOT position.text_offsets_exact, FALSE)
+        WHEN 'unordered' THEN coalesce(len(list_filter(position.source_spans, lambda s: s.char_end < s.char_start)), 0) > 0 ELSE coalesce(len(list_filter(position.source_spans, lambda s: s.char_end = s.char_start)), 0) > 0 END), ',') AS warnings
+    FROM {_LATEST}"""
+)
+def attached_sources(spark: SparkSession, root: str) -> DataFrame:
+    """What each fragment says about its sources, and what is to be said against it."""
+    spans = F.coalesce("position.source_spans", F.array().cast(dict(table(spark, root, "fragments").select("position.source_spans").dtypes)["source_spans"]))
+    has = lambda c: F.exists("s", c)
+    df = latest(table(spark, root, "fragments")).select("fragment_no", spans.alias("s"), F.col("position.text_offsets_exact").alias("exact"))
+    warnings = F.concat_ws(",", F.when(F.size("s") == 0, "no_source"), F.when(~F.col("exact"), "inexact"), F.when(has(lambda x: x["char_end"] < x["char_start"]), "unordered"), F.when(has(lambda x: x["char_end"] == x["char_start"]), "empty_span"))
+    units = F.size(F.array_distinct(F.filter(F.transform("s", lambda x: x["source_unit_id"]), lambda u: u.isNotNull())))
+    return df.select("fragment_no", F.size("s").alias("spans"), units.alias("units"), warnings.alias("warnings"))

@@ -194,3 +194,28 @@ def work_queues(spark: SparkSession, root: str) -> DataFrame:
     heavy = F.col("kind").isin("image", "cad") | (size > 20 << 20)
     pages = F.greatest(F.lit(1), F.ceil(size / F.lit(102400.0)))
     return df.select("file_no", F.when(heavy, "ml").otherwise("interactive").alias("queue"), F.least(F.lit(3600 * 0.8), 60 + 15.0 * pages).alias("budget"))
+
+
+@R.query(
+    f"""SELECT layer, category, accepts, rejects FROM (SELECT layer, coalesce(category, '?') AS category, count(*) FILTER (WHERE outcome = 'accept') AS accepts, count(*) FILTER (WHERE outcome = 'reject') AS rejects
+      FROM ({R.sql['gateway_cascade']}) JOIN intake_files USING (file_no) GROUP BY ALL) WHERE accepts >= 3 AND accepts > 2 * rejects"""
+)
+def layer_suggestions(spark: SparkSession, root: str) -> DataFrame:
+    """Layers and categories whose files are accepted far more often than rejected: candidates for a rule."""
+    outcome = table(spark, root, "intake_files").select("file_no", "outcome")
+    df = gateway_cascade(spark, root).select("file_no", "layer", F.coalesce("category", F.lit("?")).alias("category")).join(outcome, "file_no")
+    by = df.groupBy("layer", "category").agg(F.count_if(F.col("outcome") == "accept").alias("accepts"), F.count_if(F.col("outcome") == "reject").alias("rejects"))
+    return by.filter("accepts >= 3 and accepts > 2 * rejects")
+
+
+@R.query(
+    """SELECT q.file_no, min(l.file_no) AS resolved_by, arg_min(l.outcome, l.file_no) AS resolution FROM intake_files q LEFT JOIN intake_files l ON l.s3_fileid = q.s3_fileid AND l.file_no > q.file_no AND l.outcome IN ('accept', 'reject')
+      WHERE q.outcome = 'quarantine' GROUP BY q.file_no"""
+)
+def resolved_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Each quarantined file with the next decided arrival of its id, which resolves it; null while it waits."""
+    df = table(spark, root, "intake_files").filter("outcome in ('accept', 'reject', 'quarantine')").select("file_no", "s3_fileid", "outcome")
+    later = Window.partitionBy("s3_fileid").orderBy("file_no").rowsBetween(1, Window.unboundedFollowing)
+    decided = F.first(F.when(F.col("outcome") != "quarantine", F.struct("file_no", "outcome")), True).over(later)
+    waiting = df.withColumn("d", decided).filter("outcome = 'quarantine'")
+    return waiting.select("file_no", F.col("d.file_no").alias("resolved_by"), F.col("d.outcome").alias("resolution"))

@@ -183,3 +183,19 @@ def test_comparison_words_are_words():
     assert one("более 5 мм")[0][5] == "=" and one("t < 5 мм")[0][5] == "<" and one("макс ≥ 5 мм")[0][5] == ">="
     assert one("5-10 ±1 мм")[-1][2:4] == (9.0, 11.0) and one("от 1 000 до 2 000,5 кг") == [("range", None, 1000.0, 2000.5, "kg", "range", "")]
     assert one("DN55 и 3…5 мм")[-1] == ("range", None, 3.0, 5.0, "mm", "range", "")
+
+
+def test_cells_take_the_text_of_the_line_that_says_the_same(spark):
+    assert tables.match_cells(["Насос 5", "вал", "вал"], ["вал", "Насос5.", "прочее"]) == [(0, 1, 0.923077), (1, 0, 1.0)]
+    assert tables.match_cells([], ["a"]) == [] and tables.match_cells(["", "a"], ["", "b"]) == []
+    position, payload = "position struct<page: int>", "structured_payload struct<table_html: string>"
+    frags = spark.createDataFrame([(1, "f", (1,), ("<table><tr><td>Насос НЦ-5О</td><td>вал</td></tr></table>",)), (2, "f", (2,), (None,)), (3, "g", (1,), ("<td>x</td>",))], f"fragment_no long, s3_fileid string, {position}, {payload}")
+    lines = spark.createDataFrame([(7, "f", 1, "Насос НЦ-50"), (8, "f", 1, "вал"), (9, "f", 1, None)], "line_id long, s3_fileid string, page int, text string")
+    assert [tuple(r)[:3] + tuple(r)[4:] for r in tables.cell_lines(frags, lines).collect()] == [(1, 0, 7, "Насос НЦ-5О", "Насос НЦ-50")]
+
+
+def test_strategies_by_name_type_and_source():
+    assert chunking.strategy_of("fixed", "manual") == "fixed" and chunking.strategy_of(None, "manual", "tesseract") == "semantic"
+    assert chunking.strategy_of(None, "other", "tesseract") == "paragraph" and chunking.strategy_of() == "paragraph"
+    with pytest.raises(ValueError):
+        chunking.strategy_of("other")
