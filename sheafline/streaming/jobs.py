@@ -63,24 +63,27 @@ def run_first_claims(spark: SparkSession, path: str, folder: str | None = None)
     """(user_id, event_type, event_id): the smallest event id of each key, kept in state; a key emits when its claim changes.
 
     The state of a key goes ``HELD_MS`` after its last event, in event time. A later event of the key then emits again; the table that is read back keeps the smallest, so
-    nothing is lost by it.
+    nothing is lost by it. Events without a time column ``ts`` have no clock to go by: their state stays.
     """
+    events = source(spark, path)
+    timed = "ts" in events.columns
 
     def claim(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         held = state.get[0] if state.exists else None
-        rows = [(int(b["event_id"].min()), b["ts"].max().timestamp() * 1000) for b in batches]
+        rows = [(int(b["event_id"].min()), b["ts"].max().timestamp() * 1000 if timed else 0) for b in batches]
         least, last = min(r[0] for r in rows), max(r[1] for r in rows)
         if held is None or least < held:
             state.update((least,))
-        state.setTimeoutTimestamp(int(max(last, state.getCurrentWatermarkMs())) + HELD_MS)
+        if timed:
+            state.setTimeoutTimestamp(int(max(last, state.getCurrentWatermarkMs())) + HELD_MS)
         if held is None or least < held:
             yield pd.DataFrame({"user_id": [key[0]], "event_type": [key[1]], "event_id": [least]})
 
-    events = with_time(source(spark, path)).select("user_id", "event_type", "event_id", "ts").withWatermark("ts", LATENESS)
+    events = with_time(events).select("user_id", "event_type", "event_id", "ts").withWatermark("ts", LATENESS) if timed else events.select("user_id", "event_type", "event_id")
     types = dict(events.dtypes)
-    stream = events.groupBy("user_id", "event_type").applyInPandasWithState(claim, f"user_id {types['user_id']}, event_type string, event_id long", "held long", "update", GroupStateTimeout.EventTimeTimeout)
+    stream = events.groupBy("user_id", "event_type").applyInPandasWithState(claim, f"user_id {types['user_id']}, event_type string, event_id long", "held long", "update", GroupStateTimeout.EventTimeTimeout if timed else GroupStateTimeout.NoTimeout)
     out = run(stream, "update", "claims", folder)
     return out.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))

@@ -89,3 +89,19 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert first == {(0, "click", 12), (1, "click", 10), (2, "click", 11)}
     events(0, 10).write.mode("append").parquet(data)
     assert {tuple(r) for r in jobs.run_first_claims(spark, data, folder).collect()} == {(0, "click", 0), (1, "click", 1), (2, "click", 2)}
+
+
+def test_claims_leave_the_state_and_the_smallest_stays(spark, tmp_path, monkeypatch):
+    from datetime import datetime, timedelta
+
+    from sheafline.streaming import jobs
+
+    monkeypatch.setattr(jobs, "HELD_MS", 1000)
+    monkeypatch.setattr(jobs, "LATENESS", "1 second")
+    path, folder = str(tmp_path / "data"), str(tmp_path / "job")
+    start = datetime(2025, 1, 1)
+    for day, event in ((0, 5), (10, 9), (20, 3), (30, 8)):
+        rows = [(event, 1, "a", start + timedelta(days=day)), (100 + event, 2, "a", start + timedelta(days=day))]
+        spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts timestamp").write.mode("append").parquet(path)
+        got = {tuple(r) for r in jobs.run_first_claims(spark, path, f"file://{folder}").collect()}
+    assert got == {(1, "a", 3), (2, "a", 103)}
