@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sheafline.functions.texts import bound
 from sheafline.session import written
 
 
@@ -70,13 +71,25 @@ def chosen_keys(value: Column, blocks: int, width: int, agree: int) -> Column:
     return F.array(*keys)
 
 
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >= 1 << 63 else bits
+
+
 def first_choice(differ: Column, blocks: int, width: int, agree: int) -> Column:
     """The mask of the first ``agree`` blocks without a differing bit: the one key, of those that two values share, that gives their pair."""
-    mask, left = F.lit(0), F.lit(agree)
-    for k in range(blocks):
-        same = (F.shiftrightunsigned(differ, k * width).bitwiseAND(F.lit((1 << width) - 1)) == 0) & (left > 0)
-        mask, left = mask + F.when(same, 1 << k).otherwise(0), left - F.when(same, 1).otherwise(0)
-    return mask
+
+    def same(d: Column) -> Column:
+        return sum((F.when(d.bitwiseAND(F.lit(_signed(((1 << width) - 1) << (k * width)))) == 0, 1 << k).otherwise(0) for k in range(blocks)), F.lit(0))
+
+    def lowest(left: Column) -> Column:
+        mask = F.lit(0)
+        for _ in range(agree):
+            bit = left.bitwiseAND(-left)
+            mask, left = mask + bit, left - bit
+        return mask
+
+    # values that are named often are bound: written out, the join's condition is too long for the compiler
+    return bound(bound(differ, same), lowest)
 
 
 def near_pairs(prints: DataFrame, id_col: str, distance: int = 6, blocks: int = 8, crowd: int = 1000) -> DataFrame:
@@ -88,17 +101,17 @@ def near_pairs(prints: DataFrame, id_col: str, distance: int = 6, blocks: int =
     no pairs. Needs distance < blocks and blocks dividing 64.
     """
     agree, width = blocks - distance, 64 // blocks
-    heads = prints.filter("fingerprint <> 0").groupBy("fingerprint").agg(F.min(id_col).alias("id"))
-    keyed = written(heads.withColumn("k", F.explode(chosen_keys(F.col("fingerprint"), blocks, width, agree))).select("id", "fingerprint", "k.mask", "k.v"), "print-keys")
-    sizes = keyed.groupBy("mask", "v").agg((F.count("*") > crowd).alias("hot"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    met = written(keyed.join(sizes, ["mask", "v"]), "print-groups")
-    # bits 0, 8, 16, ... make the first block of the second key, bits 1, 9, 17, ... the second: other blocks than before
+    # bits 0, 8, 16, ... make the first block of the second key, bits 1, 9, 17, ... the second: other blocks than those of the first
     turned = F.lit(0).cast("long")
     for k in range(width):
         for i in range(blocks):
             turned = turned.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fingerprint", i * width + k).bitwiseAND(F.lit(1)), k * blocks + i))
-    fine = met.filter("hot").withColumn("turned", turned)
-    fine = fine.withColumn("k", F.explode(chosen_keys(F.col("turned"), width, blocks, max(0, width - distance)))).select("id", "fingerprint", "mask", "v", "turned", F.col("k.mask").alias("mask2"), F.col("k.v").alias("v2"))
+    heads = written(prints.filter("fingerprint <> 0").groupBy("fingerprint").agg(F.min(id_col).alias("id")).withColumn("turned", turned), "print-heads")
+    keyed = heads.select("id", "fingerprint", "turned", F.explode(chosen_keys(F.col("fingerprint"), blocks, width, agree)).alias("k")).select("id", "fingerprint", "turned", "k.mask", "k.v")
+    keyed = written(keyed, "print-keys")
+    sizes = keyed.groupBy("mask", "v").agg((F.count("*") > crowd).alias("hot"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    met = written(keyed.join(sizes, ["mask", "v"]), "print-groups")
+    fine = met.filter("hot").withColumn("k", F.explode(chosen_keys(F.col("turned"), width, blocks, max(0, width - distance)))).select("id", "fingerprint", "mask", "v", "turned", F.col("k.mask").alias("mask2"), F.col("k.v").alias("v2"))
     coarse = met.filter("not hot")
 
     def pairs(rows: DataFrame, keys: list[str]) -> DataFrame:

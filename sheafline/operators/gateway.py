@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sheafline.functions.texts import bound
 from sheafline.operators.rules import COUNT_CAP, REPEAT_CAP
 
 
@@ -64,11 +65,6 @@ def counted(text: Column, signs: tuple[Sign, ...] = SIGNS) -> Column:
     return F.array(*[F.least(F.regexp_count(text, F.lit(s.pattern)), F.lit(COUNT_CAP)) for s in signs])
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is evaluated once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def match(counts: Column, allowed: tuple[str, ...] = CATEGORIES, signs: tuple[Sign, ...] = SIGNS) -> Column:
     """struct(category, confidence, score, hits) from the counts of ``counted``; category null if nothing matches."""
     categories = [c for c in CATEGORIES if c in allowed]
