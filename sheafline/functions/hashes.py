@@ -133,6 +133,7 @@ def near_classes(prints: DataFrame, id_col: str, distance: int = 6) -> DataFrame
 
     Records without a fingerprint (0) are classes of their own without links.
     """
+    prints = written(prints.select(id_col, "fingerprint"), "prints")
     pairs = written(near_pairs(prints, id_col, distance), "print-pairs")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
     linked = both.groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("links"), F.min(F.struct("distance", "b")).alias("m"))
