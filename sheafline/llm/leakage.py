@@ -240,8 +240,9 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     kinds = sorted(r[0] for r in windows.select("short").distinct().collect())  # two at most
     known = None
     if kinds and grams.count() <= most_in_memory:
-        rows = grams.toPandas()  # as many as are counted above
-        known = {short: np.sort(rows["gram"].to_numpy()[rows["short"] == short].view(np.uint64)) for short in kinds}
+        rows = grams.toArrow()  # as many as are counted above, 8 bytes each
+        hashed, is_short = rows["gram"].to_numpy(), rows["short"].to_numpy()
+        known = {short: np.sort(hashed[is_short == short].view(np.uint64)) for short in kinds}
     hits = written(docs.mapInPandas(_grams(known, kinds), "doc_id long, gram long").distinct(), "leak-hits")
     chosen = written(seeds(windows, hits).join(windows.select("item", "gram", "place", "short").distinct(), ["item", "gram", "place"]), "leak-seeds")
     few = F.broadcast if table_bytes(chosen) < 8 << 20 else lambda df: df

@@ -94,6 +94,23 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    # pieces of each unit in order, measured on their own text; what lies before a piece is what no earlier one reaches
+    "p3_found": r"""
+        WITH lim AS (SELECT profile, min(unit) AS unit, min(max_size) AS size, coalesce(min(overlap), 0) AS lap FROM size_limits GROUP BY profile),
+          u AS (SELECT unit_no, source_unit_id, text, length(text) AS n, unit, size, lap FROM source_units JOIN lim USING (profile) WHERE unit_no IS NOT NULL AND text IS NOT NULL AND size >= 1),
+          f AS (SELECT fragment_id, fragment_no, updated_at, unnest(position.source_spans) AS s FROM fragments),
+          k AS (SELECT DISTINCT s.source_unit_id AS source_unit_id, fragment_id, s.char_start AS a, s.char_end AS b FROM (
+            SELECT *, dense_rank() OVER (PARTITION BY s.source_unit_id, fragment_id ORDER BY updated_at DESC, fragment_no DESC) AS r FROM f) WHERE r = 1 AND s.char_start IS NOT NULL AND s.char_end IS NOT NULL),
+          p AS (SELECT unit_no, text, n, unit, size, lap, greatest(0, least(a, n)) AS a, greatest(0, least(b, n)) AS b FROM u JOIN k USING (source_unit_id)),
+          o AS (SELECT *, coalesce(max(b) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS covered, lag(b) OVER w AS before, max(b) OVER (PARTITION BY unit_no) AS top FROM p WINDOW w AS (PARTITION BY unit_no ORDER BY a, b)),
+          t AS (SELECT *, a > covered AND regexp_matches(substring(text, covered + 1, a - covered), '[^\s\p{Z}\x{85}\x1c-\x1f]') AS gap, substring(text, a + 1, greatest(b - a, 0)) AS piece FROM o)
+        SELECT unit_no, 'unsplit' AS defect FROM u WHERE source_unit_id NOT IN (SELECT source_unit_id FROM k) AND CASE unit WHEN 'tokens' THEN len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\s\p{Z}\p{L}\p{N}]')) ELSE n END > size
+        UNION SELECT unit_no, 'over' FROM t WHERE b > a AND CASE unit WHEN 'tokens' THEN len(regexp_extract_all(piece, '\p{L}+|\p{N}+|[^\s\p{Z}\p{L}\p{N}]')) ELSE b - a END > size
+        UNION SELECT unit_no, 'gap' FROM t WHERE gap OR regexp_matches(substring(text, top + 1), '[^\s\p{Z}\x{85}\x1c-\x1f]')
+        UNION SELECT unit_no, 'overlap' FROM t WHERE NOT gap AND before IS NOT NULL AND (a >= before OR a < before - lap)
+        UNION SELECT unit_no, 'midword' FROM t WHERE b > 0 AND b < n AND regexp_matches(substring(text, b, 1), '\p{L}') AND regexp_matches(substring(text, b + 1, 1), '\p{L}')
+          AND regexp_matches(substring(text, greatest(a, b - 120) + 1, b - greatest(a, b - 120)), '[\s\p{Z}\x{85}\x1c-\x1f]')
+    """,
     "p6_found": r"""
         SELECT l.profile AS profile, d.doc_id AS doc_id
         FROM (SELECT doc_id, len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\s\p{Z}\p{L}\p{N}]')) AS n FROM documents) d

@@ -198,6 +198,7 @@ def test_query(spark, data, name):
     df = Q.QUERIES[name](spark, data)
     if name in Q.SQL:
         assert not oracle.differences(df, oracle.connect(data), Q.SQL[name])
+    if name not in CHECKS:
         return
     rows = df.collect()
     if name.endswith("_found"):
