@@ -506,10 +506,6 @@ def defects(lines: DataFrame, word_list: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, kinds).distinct()
 
 
-#: A paragraph goes on over page breaks; at every page whose number is a multiple of this one it ends at the latest.
-MOST_PAGES = 64
-
-
 def page_chains(pages: DataFrame, stretch: int = 1000) -> DataFrame:
     """(s3_fileid, unit, from_unit) from (s3_fileid, unit, goes_on, n): the page that holds the beginning of the paragraph which a page's first line continues.
 
@@ -528,8 +524,9 @@ def paragraphs(lines: DataFrame, word_list: DataFrame) -> DataFrame:
     """(s3_fileid, page, paragraph, text): the body of each file, repaired and reflowed; page and number are those where the paragraph begins.
 
     A paragraph ends where a line ends a sentence well short of the page's width; at a page's last line it ends with any sentence, and goes on over the page break
-    otherwise (over ``MOST_PAGES`` pages at most). Header and page number lines are
-    left out, cut words joined, misread words and numbers replaced by their right form. Re-read lines count once (the last read). Lines of unknown pages form stretches of their own under page 0.
+    otherwise, over however many pages. Header and page number lines are
+    left out, cut words joined, misread words and numbers replaced by their right form. Re-read lines count once (the last read). Lines of unknown pages stand under page 0; where one stretch of
+    them follows another there is no page break, so a paragraph ends there as it does between any two lines.
     """
     a = Analysis(lines, word_list)
     body = a.seen.filter("place = 'body'")
@@ -540,7 +537,8 @@ def paragraphs(lines: DataFrame, word_list: DataFrame) -> DataFrame:
     page = Window.partitionBy("s3_fileid", "unit")
     df = once.join(mine, "line_id", "left").withColumn("__wide", F.max(F.length("text")).over(page))
     sentence = F.col("text").rlike(r"[.!?:;]\s*$")
-    df = df.withColumn("__ends", sentence & (F.length("text") < 0.8 * F.col("__wide"))).withColumn("__stop", sentence)
+    df = df.withColumn("__ends", sentence & (F.length("text") < 0.8 * F.col("__wide")))
+    df = df.withColumn("__stop", F.when(F.col("unit") < 0, F.col("__ends")).otherwise(sentence))
     df = df.withColumn("__new", F.coalesce(F.lag("__ends").over(page.orderBy("line_no")), F.lit(True)).cast("int"))
     df = df.withColumn("paragraph", F.sum("__new").over(page.orderBy("line_no")).cast("int"))
 
@@ -552,7 +550,7 @@ def paragraphs(lines: DataFrame, word_list: DataFrame) -> DataFrame:
     df = written(df.select("s3_fileid", "unit", "page", "paragraph", "line_no", "__t", "__stop"), "scan-reflow")
     pages = df.groupBy("s3_fileid", "unit").agg(F.max_by("__stop", "line_no").alias("stop"), F.max("paragraph").alias("n"))
     before = pages.select("s3_fileid", (F.col("unit") + 1).alias("unit"), (~F.col("stop")).alias("goes_on"))
-    pages = pages.join(before, ["s3_fileid", "unit"], "left").withColumn("goes_on", F.coalesce("goes_on", F.lit(False)) & (F.col("unit") % MOST_PAGES != 0))
+    pages = pages.join(before, ["s3_fileid", "unit"], "left").withColumn("goes_on", F.coalesce("goes_on", F.lit(False)))
     pages = written(pages.select("s3_fileid", "unit", "goes_on", "n"), "scan-pages")
     chains = page_chains(pages).join(pages.select("s3_fileid", F.col("unit").alias("from_unit"), F.col("n").alias("__at")), ["s3_fileid", "from_unit"])
     df = df.join(chains, ["s3_fileid", "unit"], "left")

@@ -140,3 +140,17 @@ def test_chains_are_carried_over_stretches(spark):
             start = u
     got = S.page_chains(spark.createDataFrame(pages, "s3_fileid string, unit int, goes_on boolean, n int"), stretch=20)
     assert {r.unit: r.from_unit for r in got.collect()} == want
+
+
+def test_a_paragraph_goes_on_over_any_number_of_pages(spark):
+    words = spark.createDataFrame([("насос", "ru")], "word string, lang string")
+    rng = random.Random(6)
+    text = lambda: " ".join("".join(rng.choices("абвгдежзклмнопрст", k=7)) for _ in range(6))
+    # no sentence ends before the last page, in files with pages and in one without
+    rows = [(10 * n + i, "f", n, i, text(), None, None, "tesseract") for n in range(1, 132) for i in (1, 2, 3)]
+    rows += [(5000 + i, "g", 0, 250 * i, text(), None, None, "tesseract") for i in range(270)]
+    # sentences that end in the middle of a paragraph: the second one at a stretch's last line
+    rows += [(9000 + i, "h", None, i, text() + "." * (i in (500, 999)), None, None, "tesseract") for i in (499, 500, 501, 999, 1000)]
+    got = {(r.s3_fileid, r.page, r.paragraph): r.text for r in S.paragraphs(spark.createDataFrame(rows, LINE), words).collect()}
+    assert {k[0]: k[1] for k in got} == {"f": 1, "g": 0, "h": 0} and len(got) == 3
+    assert {k[0]: t for k, t in got.items()} == {f: " ".join(r[4] for r in rows if r[1] == f) for f in "fgh"}
