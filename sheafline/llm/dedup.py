@@ -3,7 +3,8 @@
 Records with the same bag of folded words are one class (the order of sentences does not matter). The index keeps, in a folder that all
 executors share:
 
-* ``bands``: for each class one row a minwise band, with the band's key and the class's signature (one bit of each minimum), laid out by a hash of the key;
+* ``bands``: for each class one row a minwise band, with the band's key and the class's signature (one bit of each minimum, and the parities of how many
+  words fall into each of 256 cells), laid out by a hash of the key;
 * ``classes``: bag, earliest record, earliest near record, and the words, laid out by a hash of the bag;
 * ``members``: bag and record, laid out by a hash of the bag, read only when a record arrives that is earlier than those it repeats.
 
@@ -11,12 +12,14 @@ Each load is a run of these three tables. A run has a number of buckets that gro
 the next, so the history is a few runs and each record is rewritten a logarithmic number of times. A run counts once its marker is written: what a
 failed load left is replaced by the next try, and an index opened on an existing folder goes on where the last load ended.
 
-A batch probes: its bags and band keys name the buckets, only those are read; key rows whose signatures agree too little are dropped; the words of
+A batch probes: its bags and band keys name the buckets, only those are read; key rows whose signatures agree too little are dropped, and those with more
+parities unlike than words may differ (each word that differs changes one parity, so this drops no near pair); the words of
 the rest are read from their buckets and compared word by word. Then its own classes are appended.
 
 A key that more than ``crowd`` classes share is not paired off. Each of its classes meets the ``crowd`` earliest ones only: where one of these is near,
-the earliest near class of that key is found. A class none of them is near to takes the exact way: two bags whose distance is at most ``limit`` share
-at least one word among the rarest ``n - ceil((1 - limit) n) + 1`` of each, when all rank words alike.
+the earliest near class of that key is found. A class none of them is near to meets all classes of the key, which is cut into blocks; what makes such keys are
+words that nearly all texts have, and the parities part those texts. Beyond ``paired`` classes of a key it takes the other exact way: two bags whose distance is at
+most ``limit`` share at least one word among the rarest ``n - ceil((1 - limit) n) + 1`` of each, when all rank words alike.
 """
 
 from __future__ import annotations
@@ -41,6 +44,10 @@ BANDS, ROWS = 28, 7
 #: At most one word in ten differs in a repeat, more than one in four between others; the limit stands between them.
 LIMIT = 0.15
 CROWD = 40
+#: Up to so many classes a key's unsolved ones are paired off in blocks of so many.
+PAIRED, BLOCK = 100_000, 2_000
+#: Cells whose parities stand in a signature, after four numbers for the minima.
+CELLS = 256
 #: Rows of one bucket of a run, how many runs of a level are merged, and how many buckets a filter names at most.
 BUCKET_ROWS, FAN, MOST_NAMED = 1 << 20, 8, 2_000
 #: The signatures' bits that agree: (1 + J) / 2 of them on average. At the limit J is 0.74, six standard deviations below that is 0.72.
@@ -73,7 +80,7 @@ def features(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def band_keys(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """For each text BANDS 64-bit keys, and its signature: one bit of each minimum, as four numbers. Texts must have words."""
+    """For each text BANDS 64-bit keys, and its signature: one bit of each minimum, as four numbers, and the parities of its cells, as four more. Texts must have words."""
     a, b = _parameters()
     flat, starts = features(texts)
     shifted = flat >> np.uint64(29)
@@ -88,7 +95,9 @@ def band_keys(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
             key ^= key >> np.uint64(31)
             bits[:, r] = (low * mix) >> np.uint64(63)
         keys[:, band] = key
-    return keys.view(np.int64), np.packbits(bits, axis=1).view(np.int64)
+    text = np.repeat(np.arange(len(texts)), np.diff(np.append(starts, len(flat))))
+    cells = np.bincount(text * CELLS + (flat >> np.uint64(56)).astype(np.int64), minlength=len(texts) * CELLS).reshape(len(texts), CELLS)
+    return keys.view(np.int64), np.packbits(np.hstack([bits, (cells & 1).astype(np.uint8)]), axis=1).view(np.int64)
 
 
 def _prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,6 +116,15 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"key": keys.ravel(), "bag": part["bag"].to_numpy()[rows], "head": part["head"].to_numpy()[rows], "n": part["n"].to_numpy()[rows], "signature": list(signatures[rows])})
 
 
+def _key_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row a class with all its keys: the rows of the keys are made from it outside Python."""
+    for pdf in batches:
+        for at in range(0, len(pdf), 512):
+            part = pdf.iloc[at : at + 512]
+            keys, signatures = band_keys([w.split(" ") for w in part["words"]])
+            yield pd.DataFrame({"keys": list(keys), "bag": part["bag"], "head": part["head"], "n": part["n"], "signature": list(signatures)})
+
+
 def bag_distance(a: str, b: str) -> float:
     """The share of the longer text's words that the other does not match, whatever the order."""
     x, y = Counter(a.split()), Counter(b.split())
@@ -125,6 +143,11 @@ def _agree(a: str, b: str) -> Column:
     return 1 - differ / F.lit(BANDS * ROWS)
 
 
+def _unlike(a: str, b: str) -> Column:
+    """How many cells' parities differ: at most as many as there are words in one text and not in the other. None where an older index kept no parities."""
+    return F.coalesce(sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(4, 4 + CELLS // 64)), F.lit(0)), F.lit(0))
+
+
 def _bucket(column: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
 
@@ -137,9 +160,9 @@ def small(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
 class HistoryIndex:
     """The persisted history: loads are added, each is told apart from all before it."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, limit: float = LIMIT, crowd: int = CROWD, bucket_rows: int = BUCKET_ROWS, fan: int = FAN):
+    def __init__(self, spark: SparkSession, path: str | None = None, limit: float = LIMIT, crowd: int = CROWD, bucket_rows: int = BUCKET_ROWS, fan: int = FAN, paired: int = PAIRED):
         """Opens the index in ``path`` (a new folder under the shared one if none is given) with all loads that ended there."""
-        self.spark, self.limit, self.crowd, self.bucket_rows, self.fan = spark, limit, crowd, bucket_rows, fan
+        self.spark, self.limit, self.crowd, self.bucket_rows, self.fan, self.paired = spark, limit, crowd, bucket_rows, fan, paired
         self.path = (path or f"{shared_dir(spark)}/history-{uuid.uuid4().hex}").rstrip("/")
         self.runs: dict[str, dict] = {}
         self.loads = 0
@@ -238,7 +261,8 @@ class HistoryIndex:
         # classes that the history does not know, or knows with a later record only
         active = heads.filter("old_head is null or head < old_head").select("bag", "head")
         active = written(new.join(active.withColumnRenamed("head", "id"), ["bag", "id"]).dropDuplicates(["bag"]).withColumnRenamed("id", "head"), "active")
-        bands = written(active.mapInPandas(_bands, "key long, bag binary, head long, n int, signature array<long>"), "bands")
+        lists = active.mapInPandas(_key_lists, "keys array<long>, bag binary, head long, n int, signature array<long>")
+        bands = written(lists.select(F.explode("keys").alias("key"), "bag", "head", "n", "signature"), "bands")
         near = written(self._near(active, bands), "near")
         # of each class: the earliest record of its own, and of the classes that it is near to
         null = F.lit(None).cast("long")
@@ -296,21 +320,41 @@ class HistoryIndex:
         late = crowded.groupBy("key").agg(F.min(F.when(F.col("active"), F.col("head"))).alias("from"))
         solved = crowded.select("key", "bag").join(near.select(F.col("bag_b").alias("bag"), F.col("bag_a")), "bag").join(pivots.select("key", F.col("bag").alias("bag_a")), ["key", "bag_a"]).select("key", "bag").distinct()
         left = crowded.join(late, "key").filter(F.col("active") | (F.col("head") > F.col("from"))).join(pivots.select("key", "bag"), ["key", "bag"], "left_anti").join(solved, ["key", "bag"], "left_anti")
-        left = written(left.select("bag").distinct(), "unsolved")
-        if not left.isEmpty():
-            everyone = crowded.groupBy("bag").agg(F.min("head").alias("head"), F.max("active").alias("active"), F.min("n").alias("n"))
-            more = written(self._rare_pairs(everyone, words.select("bag", "words"), left), "rare-candidates")
-            near = near.unionByName(self._verified(more, words))
+        left = written(left.select(*met.columns), "unsolved")
+        least, most = left.agg(F.min("members"), F.max("members")).first()  # two numbers
+        more = None
+        if least is not None and least <= self.paired:
+            few = F.col("members") <= self.paired
+            more = self._candidates(*self._blocks(left.filter(few), crowded.filter(few).join(left.select("key").distinct(), "key", "left_semi")), on=("key", "block"))
+        if most is not None and most > self.paired:
+            huge = crowded.filter(F.col("members") > self.paired)
+            everyone = huge.groupBy("bag").agg(F.min("head").alias("head"), F.max("active").alias("active"), F.min("n").alias("n"), F.first("signature").alias("signature"))
+            rare = self._rare_pairs(everyone, words.select("bag", "words"), left.filter(F.col("members") > self.paired).select("bag").distinct())
+            more = rare if more is None else more.unionByName(rare)
+        if more is not None:
+            near = near.unionByName(self._verified(written(more.distinct(), "more-candidates"), words))
         return near.groupBy(F.col("bag_b").alias("bag")).agg(F.min("head_a").alias("near"))
 
     def _fits(self) -> Column:
         return F.least("a.n", "b.n") >= (1 - self.limit) * F.greatest("a.n", "b.n")
 
-    def _candidates(self, rows: DataFrame, earlier: DataFrame) -> DataFrame:
+    def _alike(self) -> Column:
+        """Whether the cells' parities leave room for a distance of ``limit``: bags of a and b words that share s differ in a + b - 2 s."""
+        return _unlike("a.signature", "b.signature") <= F.col("a.n") + F.col("b.n") - 2 * (1 - self.limit) * F.greatest("a.n", "b.n") + 1e-6
+
+    @staticmethod
+    def _blocks(rows: DataFrame, whole: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of a key in as many blocks as its members make, each to meet all of ``whole``: no task pairs off more than BLOCK rows at once."""
+        pieces = F.ceil(F.col("members") / BLOCK).cast("int")
+        return rows.withColumn("block", F.pmod(F.xxhash64("bag"), pieces).cast("int")), whole.withColumn("block", F.explode(F.sequence(F.lit(0), pieces - 1)))
+
+    def _candidates(self, rows: DataFrame, earlier: DataFrame, on: tuple[str, ...] = ("key",)) -> DataFrame:
         """(bag_a, head_a, bag_b) of classes that share a key, one of them active, whose lengths and signatures do not speak against it."""
         a, b = earlier.alias("a"), rows.alias("b")
-        on = (F.col("a.key") == F.col("b.key")) & (F.col("a.head") < F.col("b.head")) & (F.col("a.bag") != F.col("b.bag")) & (F.col("a.active") | F.col("b.active")) & self._fits()
-        return b.join(a, on).filter(_agree("a.signature", "b.signature") >= LEAST_AGREE).select(F.col("a.bag").alias("bag_a"), F.col("a.head").alias("head_a"), F.col("b.bag").alias("bag_b"))
+        same = reduce(Column.__and__, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on])
+        on = same & (F.col("a.head") < F.col("b.head")) & (F.col("a.bag") != F.col("b.bag")) & (F.col("a.active") | F.col("b.active")) & self._fits()
+        fit = b.join(a, on).filter(self._alike() & (_agree("a.signature", "b.signature") >= LEAST_AGREE))
+        return fit.select(F.col("a.bag").alias("bag_a"), F.col("a.head").alias("head_a"), F.col("b.bag").alias("bag_b"))
 
     def _verified(self, candidates: DataFrame, words: DataFrame) -> DataFrame:
         # only the texts of candidates move
@@ -327,10 +371,10 @@ class HistoryIndex:
         frequency = terms.groupBy("t").agg(F.count("*").alias("df"))
         place = F.row_number().over(Window.partitionBy("bag").orderBy("df", "t"))
         ranked = terms.select("bag", "head", "n", "active", "t").join(frequency, "t").withColumn("place", place)
-        rare = ranked.filter(F.col("place") <= F.col("n") - F.ceil((1 - self.limit) * F.col("n")) + 1).filter("df > 1")
+        rare = ranked.filter(F.col("place") <= F.col("n") - F.ceil((1 - self.limit) * F.col("n")) + 1).filter("df > 1").join(crowded.select("bag", "signature"), "bag")
         a, b = rare.alias("a"), rare.join(unsolved, "bag", "left_semi").alias("b")
         on = (F.col("a.t") == F.col("b.t")) & (F.col("a.head") < F.col("b.head")) & (F.col("a.bag") != F.col("b.bag")) & (F.col("a.active") | F.col("b.active")) & self._fits()
-        return b.join(a, on).select(F.col("a.bag").alias("bag_a"), F.col("a.head").alias("head_a"), F.col("b.bag").alias("bag_b")).distinct()
+        return b.join(a, on).filter(self._alike()).select(F.col("a.bag").alias("bag_a"), F.col("a.head").alias("head_a"), F.col("b.bag").alias("bag_b")).distinct()
 
 
 def _newest_state(classes: DataFrame) -> DataFrame:

@@ -159,3 +159,27 @@ def test_loads_keep_batches_whole(spark):
     parts = [{r.batch_no for r in own.filter(c).collect()} for c in D.loads_of(own, 3)]
     assert len(parts) == 3 and set.union(*parts) == {None, 0, 1, 2, 3, 4} and sum(map(len, parts)) == 6
     assert D.loads_of(own.filter("file_no = 900"), 3) and pairs(D.found(df)) == brute(rows)
+
+
+class Counting(D.HistoryIndex):
+    """Counts the pairs whose words are compared."""
+
+    compared = 0
+
+    def _verified(self, candidates, words):
+        Counting.compared += candidates.count()
+        return super()._verified(candidates, words)
+
+
+def test_keys_of_words_that_all_texts_have_do_not_pair_off_the_texts(spark):
+    rng = random.Random(12)
+    vocabulary = [f"word{i}" for i in range(400)]
+    texts = ["the " * 100 + " ".join(rng.sample(vocabulary, 40)) for _ in range(300)]
+    texts += [t.rsplit(" ", 3)[0] for t in texts[250:270]]
+    rows = [(i + 1, i // 160, t, "accept") for i, t in enumerate(texts)]
+    df, want = spark.createDataFrame(rows, FILE), brute(rows)
+    assert len(want) == 20
+    for way in ({}, {"paired": 1}):
+        Counting.compared = 0
+        assert add_all(Counting(spark, crowd=4, **way), df, [0, 1]) == want
+        assert Counting.compared < 1000, way
